@@ -75,13 +75,13 @@ def scalar_flags(i: Inputs) -> DataFrame:
 _PADDED = f"""
 SELECT {_KEYS}, CASE {_CASE} WHEN 0 THEN '  ' || l_returnflag || ' x ' WHEN 1 THEN '   ' WHEN 2 THEN ''
   WHEN 3 THEN NULL ELSE l_returnflag || 'b' || CAST(l_partkey AS STRING) || ' ' END AS v,
-  CAST(CAST(l_shipdate AS DATE) AS STRING) || 'T10:00:00Z' AS at FROM lineitem"""
+  CAST(CAST(l_shipdate AS DATE) AS STRING) || 'T10:00:00Z' AS at_text FROM lineitem"""
 
 
 @query(
     "C15 C17 C18 C19 C20",
     f"""SELECT {_KEYS}, TRIM(v) AS trimmed, NULLIF(TRIM(v), '') AS blank_to_null, LOWER(TRIM(v)) AS lowered,
-  UPPER(TRIM(v)) AS raised, substring(at, 1, 10) AS day_text, TRIM(v) || '_organic_api' AS built
+  UPPER(TRIM(v)) AS raised, substring(at_text, 1, 10) AS day_text, TRIM(v) || '_organic_api' AS built
 FROM ({_PADDED}) AS padded""",
 )
 def scalar_text(i: Inputs) -> DataFrame:
@@ -93,7 +93,7 @@ def scalar_text(i: Inputs) -> DataFrame:
         text.null_if_blank(v).alias("blank_to_null"),
         text.lower_trimmed(v).alias("lowered"),
         text.upper_trimmed(v).alias("raised"),
-        F.substring("at", 1, 10).alias("day_text"),
+        F.substring("at_text", 1, 10).alias("day_text"),
         F.concat(numbers.trimmed(v), F.lit("_organic_api")).alias("built"),
     )
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.oracle import long
 from checks.registry import (
-    COHORT,
-    DAILY,
     ORGANIC_DOUBLES,
     PAID_DOUBLES,
     PERFORMANCE,
@@ -79,7 +78,9 @@ def landed_organic_posts(i: Inputs) -> DataFrame:
 
 def _as_report(i: Inputs, rows: DataFrame, name: str) -> DataFrame:
     path = i.scratch(name)
-    rows.write.option("header", True).option("escape", '"').csv(path)
+    # Spaces at the ends of a value belong to it.
+    writer = rows.write.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.option("header", True).option("escape", '"').csv(path)
     return landing.read_report(i.spark, path)
 
 
@@ -320,16 +321,32 @@ def _attribution(i: Inputs) -> jobs.Job:
     return job
 
 
-@query("G5 K6 A17", "SELECT * FROM cohort_table", COHORT)
-def job_attribution_cohorts(i: Inputs) -> DataFrame:
-    job = _attribution(i)
-    return tables.read_table(i.spark, job.path("cdm_ltv_cohort"), schema=schemas.CDM_LTV_COHORT)
-
-
-@query("G5 A15", "SELECT * FROM funnel_summary", DAILY)
-def job_attribution_summary(i: Inputs) -> DataFrame:
+@query(
+    "G5 K6 A15 A17",
+    "SELECT 'summary' AS table, install_date AS period, channel, '' AS plan, installs, subscriptions AS subscribers, "
+    "revenue_usd, ltv_per_install FROM funnel_summary UNION ALL SELECT 'cohort', cohort_month, channel, subscription_type, "
+    "installs, subscribers, revenue_usd, ltv_per_install FROM cohort_table UNION ALL "
+    "SELECT 'installs', install_date, channel, subscription_type, days_to_subscribe, 0, subscription_value_usd, 0 FROM cdm_installs "
+    "UNION ALL SELECT 'events', event_date, channel, event_name, duration_min, 0, revenue_usd, 0 FROM cdm_events",
+    "revenue_usd ltv_per_install",
+)
+def job_attribution(i: Inputs) -> DataFrame:
+    """All four tables of the job, brought to common columns."""
     job = _attribution(i)
-    return tables.read_table(i.spark, job.path("cdm_funnel_summary"), schema=schemas.CDM_FUNNEL_SUMMARY)
+    wanted = {
+        "cdm_funnel_summary": "'summary', install_date, channel, '', installs, subscriptions, revenue_usd, ltv_per_install",
+        "cdm_ltv_cohort": "'cohort', cohort_month, channel, subscription_type, installs, subscribers, revenue_usd, ltv_per_install",
+        "cdm_installs": "'installs', install_date, channel, subscription_type, days_to_subscribe, 0L, subscription_value_usd, 0D",
+        "cdm_funnel_events": "'events', event_date, channel, event_name, duration_min, 0L, revenue_usd, 0D",
+    }
+    names = ("table", "period", "channel", "plan", "installs", "subscribers", "revenue_usd", "ltv_per_install")
+    frames = [
+        tables.read_table(i.spark, job.path(t), schema=schemas.CDM_SCHEMAS[t])
+        .select(*(F.expr(e.strip()) for e in text.split(", ")))
+        .toDF(*names)
+        for t, text in wanted.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 @query(
@@ -342,10 +359,7 @@ def job_rounded_tables(i: Inputs) -> DataFrame:
     raw = ("raw_tiktok_ads", "raw_meta_ads", "raw_reddit_ads", "raw_mixed_posts", "raw_installs_old", "raw_app_events")
     built = jobs.rounded_cdm_tables(*(i.raw(name) for name in raw))
     counts = [df.agg(F.lit(name).alias("table"), F.count("*").alias("rows")) for name, df in built.items()]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    return reduce(lambda a, b: a.unionByName(b), counts)
 
 
 @query("G8 A1 K11", "SELECT * FROM mart_performance", PERFORMANCE)

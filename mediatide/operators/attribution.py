@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mediatide.functions.dates import month_start
 from mediatide.functions.metrics import funnel_status
 from mediatide.functions.numbers import (
+    money_sum,
     parse_double,
     ratio_floor_one,
     ratio_or_zero,
@@ -172,7 +173,7 @@ def _funnel_counts() -> list[Column]:
         F.count_if("paywall_viewed").alias("paywall_views"),
         F.count_if("trial_started").alias("trials"),
         F.count_if("subscribed").alias("subscriptions"),
-        F.sum("subscription_value_usd").alias("revenue_usd"),
+        money_sum(F.col("subscription_value_usd")).alias("revenue_usd"),
     ]
 
 
@@ -241,7 +242,7 @@ def ltv_cohort(cdm_installs: DataFrame, stamp: RunStamp | None = None) -> DataFr
         .agg(
             F.count("appsflyer_id").alias("installs"),
             F.count_if("subscribed").alias("subscribers"),
-            F.sum("subscription_value_usd").alias("revenue_usd"),
+            money_sum(F.col("subscription_value_usd")).alias("revenue_usd"),
             F.avg(c("days_to_subscribe").try_cast("double")).alias("avg_days"),
         )
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediatide.functions.dates import month_start
-from mediatide.functions.numbers import ratio
+from mediatide.functions.numbers import money_sum, ratio
 from mediatide.functions.text import lookup, null_if_blank
 
 # The attribution channel of each ad platform.
@@ -42,12 +42,12 @@ def ltv_to_cac(cohorts: DataFrame, performance: DataFrame) -> DataFrame:
     """
     c = F.col
     value = cohorts.groupBy("cohort_month", "channel").agg(
-        F.sum("installs").alias("installs"), F.sum("cohort_revenue_usd").alias("revenue_usd")
+        F.sum("installs").alias("installs"), money_sum(c("cohort_revenue_usd")).alias("revenue_usd")
     )
     spend = performance.groupBy(
         month_start(c("date")).alias("cohort_month"),
         lookup(CHANNEL_OF_PLATFORM, c("platform")).alias("channel"),
-    ).agg(F.sum("cost_usd").alias("spend_usd"))
+    ).agg(money_sum(F.col("cost_usd")).alias("spend_usd"))
     joined = value.join(spend, ["cohort_month", "channel"], "left")
     return joined.select(
         "*",
@@ -61,10 +61,10 @@ def campaign_acquisition(staged_installs: DataFrame, staged_paid: DataFrame) ->
     attributed = staged_installs.groupBy("campaign_id").agg(
         F.count("*").alias("attributed_installs"),
         F.count_if("subscribed").alias("subscriptions"),
-        F.sum("subscription_value_usd").alias("revenue_usd"),
+        money_sum(F.col("subscription_value_usd")).alias("revenue_usd"),
     )
     reported = staged_paid.groupBy("campaign_id").agg(
-        F.sum("cost_usd").alias("spend_usd"),
+        money_sum(F.col("cost_usd")).alias("spend_usd"),
         F.sum("clicks").alias("clicks"),
         F.sum("installs").alias("reported_installs"),
     )
@@ -111,7 +111,7 @@ def _user_days(events: DataFrame) -> DataFrame:
         events.select(_user().alias("customer_user_id"), "event_date", "revenue_usd")
         .dropna(subset=["customer_user_id", "event_date"])
         .groupBy("customer_user_id", "event_date")
-        .agg(F.sum("revenue_usd").alias("revenue_usd"))
+        .agg(money_sum(F.col("revenue_usd")).alias("revenue_usd"))
     )
 
 
@@ -127,13 +127,13 @@ def cohort_revenue(installs: DataFrame, events: DataFrame) -> DataFrame:
     age = F.col("age")
     names = [f"revenue_{n}d" for n in REVENUE_DAYS]
     windows = [
-        F.sum(F.when((age >= 0) & (age <= n), F.col("revenue_usd"))).alias(name)
+        money_sum(F.when((age >= 0) & (age <= n), F.col("revenue_usd"))).alias(name)
         for n, name in zip(REVENUE_DAYS, names)
     ]
     # Same key as the join, so this step needs no shuffle of its own.
     per_user = _user_ages(installs, events).groupBy("customer_user_id", "cohort_month", "channel").agg(*windows)
     return per_user.groupBy("cohort_month", "channel").agg(
-        F.count("*").alias("users"), *(F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names)
+        F.count("*").alias("users"), *(F.coalesce(money_sum(F.col(n)), F.lit(0.0)).alias(n) for n in names)
     )
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from mediatide.functions.dates import month_start
 from mediatide.functions.metrics import funnel_status, paid_efficiency
-from mediatide.functions.numbers import ratio
+from mediatide.functions.numbers import money_sum, ratio
 
+_MONEY = ("cost_usd", "conversion_value_usd")
 _CAMPAIGN_DAY = ("date", "platform", "campaign_id", "campaign_name", "objective", "country")
 
 
@@ -21,7 +22,7 @@ def _loaded_at() -> Column:
 
 
 def _campaign_days(staged: DataFrame, totals: tuple[str, ...]) -> DataFrame:
-    sums = [F.sum(n).alias(n) for n in totals]
+    sums = [(money_sum(F.col(n)) if n in _MONEY else F.sum(n)).alias(n) for n in totals]
     window = F.max("attribution_window").alias("attribution_window")
     return (
         staged.groupBy(*_CAMPAIGN_DAY)
@@ -76,7 +77,7 @@ def _stage_counts() -> list[Column]:
         F.count_if("paywall_viewed").alias("paywall_views"),
         F.count_if("trial_started").alias("trials"),
         F.count_if("subscribed").alias("subscriptions"),
-        F.sum("subscription_value_usd").alias("revenue_usd"),
+        money_sum(F.col("subscription_value_usd")).alias("revenue_usd"),
         F.avg(days).alias("avg_days_to_subscribe"),
     ]
 
@@ -135,7 +136,7 @@ def ltv_cohort(staged: DataFrame) -> DataFrame:
     ).agg(
         F.count("*").alias("installs"),
         F.count_if("subscribed").alias("subscribers"),
-        F.sum("subscription_value_usd").alias("cohort_revenue_usd"),
+        money_sum(c("subscription_value_usd")).alias("cohort_revenue_usd"),
         F.avg(F.when(c("subscribed"), c("days_to_subscribe").cast("double"))).alias("avg_days_to_convert"),
         *(F.count_if(plan == p).alias(f"_{p}") for p in ("annual", "monthly", "family")),
     )
@@ -162,7 +163,7 @@ def ltv_cohort_old(staged: DataFrame) -> DataFrame:
     cohorts = _cohorts(staged, "channel", "subscription_type").agg(
         F.count("*").alias("installs"),
         F.count_if("subscribed").alias("subscribers"),
-        F.sum("subscription_value_usd").alias("cohort_revenue_usd"),
+        money_sum(c("subscription_value_usd")).alias("cohort_revenue_usd"),
         F.avg(F.when(c("subscribed"), c("days_to_subscribe"))).alias("avg_days_to_convert"),
     )
     return cohorts.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mediatide.functions.numbers import round_frame
+from mediatide.functions.numbers import money_sum, round_frame
 
 
 def _share(flag: str) -> Column:
@@ -16,7 +16,7 @@ def channel_preview(cdm_installs: DataFrame) -> DataFrame:
     return cdm_installs.groupBy("channel").agg(
         F.count("appsflyer_id").alias("installs"),
         F.count_if("subscribed").alias("subscribed"),
-        round_frame(F.sum("subscription_value_usd"), 3).alias("revenue_usd"),
+        round_frame(money_sum(F.col("subscription_value_usd")), 3).alias("revenue_usd"),
         round_frame(_share("subscribed"), 3).alias("overall_cvr"),
     )
 
@@ -35,7 +35,7 @@ def status_rollup(cohorts: DataFrame) -> DataFrame:
     return cohorts.groupBy("funnel_status").agg(
         F.count("installs").alias("rows"),
         F.sum("installs").alias("installs"),
-        F.sum("revenue_usd").alias("revenue"),
+        money_sum(F.col("revenue_usd")).alias("revenue"),
     )
 
 
@@ -43,7 +43,7 @@ def paid_preview(cdm: DataFrame) -> DataFrame:
     """Spend also as whole dollars with separators, the way it is shown."""
     platforms = cdm.groupBy("platform").agg(
         F.count("campaign_id").alias("rows"),
-        round_frame(F.sum("cost_usd"), 2).alias("spend_usd"),
+        round_frame(money_sum(F.col("cost_usd")), 2).alias("spend_usd"),
         F.sum("impressions").alias("impressions"),
         F.sum("installs").alias("installs"),
         round_frame(F.avg("cpi"), 2).alias("avg_cpi"),

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from mediatide.functions.dates import as_of_day, month_start, months_back, week_start
 from mediatide.functions.metrics import action_required, cost_per_mille, funnel_status
-from mediatide.functions.numbers import ratio
+from mediatide.functions.numbers import money_sum, ratio
 
 
 def _paid_totals() -> list[Column]:
     return [
-        F.sum("cost_usd").alias("total_spend"),
+        money_sum(F.col("cost_usd")).alias("total_spend"),
         F.sum("installs").alias("total_installs"),
-        F.sum("revenue_usd").alias("_revenue"),
+        money_sum(F.col("revenue_usd")).alias("_revenue"),
         F.sum("impressions").alias("_impressions"),
         F.sum("conversions").alias("_conversions"),
     ]
@@ -95,8 +95,12 @@ def platform_comparison(performance: DataFrame) -> DataFrame:
         "total_conversions": "conversions",
         "total_revenue": "revenue_usd",
     }
+
+    def add(total: str, name: str) -> Column:
+        return money_sum(c(name)) if total in ("total_spend", "total_revenue") else F.sum(name)
+
     reduced = performance.groupBy("platform", "campaign_id", "date").agg(
-        *(F.sum(n).alias(total) for total, n in totals.items()),
+        *(add(total, n).alias(total) for total, n in totals.items()),
         *(F.sum(n).alias(f"_{n}_sum") for n in parts),
         *(F.count(n).alias(f"_{n}_count") for n in parts),
         F.max("attribution_window").alias("attribution_window"),
@@ -104,7 +108,7 @@ def platform_comparison(performance: DataFrame) -> DataFrame:
     platforms = reduced.groupBy("platform").agg(
         F.count_distinct("campaign_id").alias("campaigns"),
         F.count_distinct("date").alias("active_days"),
-        *(F.sum(total).alias(total) for total in totals),
+        *(add(total, total).alias(total) for total in totals),
         *(ratio(F.sum(f"_{n}_sum"), F.sum(f"_{n}_count")).alias(f"avg_{n}") for n in parts),
         F.max("attribution_window").alias("attribution_window"),
     )
@@ -119,10 +123,10 @@ def platform_comparison(performance: DataFrame) -> DataFrame:
 def platform_comparison_old(performance: DataFrame) -> DataFrame:
     c = F.col
     platforms = performance.groupBy("platform").agg(
-        F.sum("cost_usd").alias("total_spend"),
+        money_sum(F.col("cost_usd")).alias("total_spend"),
         F.sum("installs").alias("total_installs"),
         F.sum("conversions").alias("total_conversions"),
-        F.sum("revenue_usd").alias("total_revenue"),
+        money_sum(F.col("revenue_usd")).alias("total_revenue"),
         *_platform_averages(),
     )
     return platforms.select(
