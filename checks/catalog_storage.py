@@ -270,9 +270,8 @@ def table_as_select(i: Inputs) -> DataFrame:
 
 
 def _land_ads(i: Inputs, path: str) -> None:
-    landing.land_rows(i.raw("raw_tiktok_ads"), path, "tiktok_ads", "stat_time_day", STAMP)
-    landing.land_rows(i.raw("raw_meta_ads"), path, "meta_ads", "date_start", STAMP)
-    landing.land_rows(i.raw("raw_reddit_ads"), path, "reddit_ads", "date", STAMP)
+    for source, day in (("tiktok_ads", "stat_time_day"), ("meta_ads", "date_start"), ("reddit_ads", "date")):
+        landing.land_rows(i.stored(i.raw(f"raw_{source}"), source), path, source, day, STAMP)
 
 
 def _job(i: Inputs, path: str, days: tuple[dt.date, dt.date] = WHOLE_RANGE) -> jobs.Job:
@@ -364,7 +363,7 @@ def job_rounded_tables(i: Inputs) -> DataFrame:
 
 @query("G8 A1 K11", "SELECT * FROM mart_performance", PERFORMANCE)
 def job_models(i: Inputs) -> DataFrame:
-    cdm = {"cdm_paid_media_daily": i.cdm_paid}
+    cdm = {"cdm_paid_media_daily": i.stored(i.cdm_paid, "cdm_paid_media_daily")}
     built = models.materialise_models(i.spark, cdm, i.scratch("models"))
     return built["mart_channel_performance_daily"]
 

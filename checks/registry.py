@@ -50,6 +50,12 @@ class Inputs:
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows from files, as a feed or table would come in use."""
+        path = self.scratch(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def ads(self) -> list[DataFrame]:
         return [

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from mediatide import schemas
 from mediatide.functions.dates import iso_day
 from mediatide.operators.fields import RunStamp
+from mediatide.sources.tables import gathered
 
 _META = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("source", "extracted_at", "attribution_window")]
@@ -97,7 +98,7 @@ def land_rows(rows: DataFrame, path: str, source: str, day: str, stamp: RunStamp
         }
     )
     (
-        marked.hint("rebalance", F.col("_day"))
+        gathered(marked, "_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("_source", "_day")

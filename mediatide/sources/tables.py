@@ -37,13 +37,34 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(column(f) for f in schema.fields))
 
 
-def laid_out(df: DataFrame, partition: str, cluster: tuple[str, ...] = ()) -> DataFrame:
-    """Rows gathered by partition value for few files, sorted by `cluster` within a file.
+# A batch up to this size is spread over a fixed number of tasks, none of which can then
+# hold more than this, whatever the share of its largest day.
+SMALL_BATCH_BYTES = 512 * 1024 * 1024
+SMALL_BATCH_TASKS = 64
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate: exact for stored files, too high rather than low for joins."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def gathered(df: DataFrame, partition: str) -> DataFrame:
+    """Rows of a partition value brought together, so that each value gets few files.
 
     REBALANCE lets AQE split a day that is far larger than the others over several tasks and
-    merge small days, where a plain repartition would give one task the whole day.
+    merge small ones, where a plain repartition would give one task the whole day.  It also
+    merges a small batch of very many days into a single task that writes file after file;
+    such a batch is spread by value instead.
     """
-    return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *cluster)
+    if estimated_bytes(df) <= SMALL_BATCH_BYTES:
+        tasks = min(SMALL_BATCH_TASKS, df.sparkSession.sparkContext.defaultParallelism)
+        return df.repartition(tasks, partition)
+    return df.hint("rebalance", F.col(partition))
+
+
+def laid_out(df: DataFrame, partition: str, cluster: tuple[str, ...] = ()) -> DataFrame:
+    """Gathered by partition value and sorted by `cluster` within each file."""
+    return gathered(df, partition).sortWithinPartitions(partition, *cluster)
 
 
 def _write(df: DataFrame, path: str, partition: str | None, mode: str) -> None:
