@@ -22,13 +22,24 @@ WHITESPACE = (
 
 
 def trimmed(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Without white space at the ends; most texts start and end visibly and stay as they are."""
+    visible = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
+    return F.when(visible, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def parse_double(text: Column) -> Column:
-    """Text to double, NULL when it is not a number."""
+    """Text to double, NULL when it is not a number.
+
+    Spark's cast is several times faster than the pattern.  It reads more than it should only
+    where a type suffix ends the text or an `x` marks a hexadecimal number, and less only
+    where digits are grouped, so what ends in a digit, has no `x` and casts needs no pattern.
+    """
+    ends_in_digit = F.ascii(F.right(text, F.lit(1))).between(48, 57)
+    cast = text.try_cast("double")
+    plain = ends_in_digit & ~text.contains("x") & ~text.contains("X") & cast.isNotNull()
     value = trimmed(text)
-    return F.when(value.rlike(_NUMBER), F.replace(value, F.lit("_"), F.lit("")).try_cast("double"))
+    matched = F.when(value.rlike(_NUMBER), F.replace(value, F.lit("_"), F.lit("")).try_cast("double"))
+    return F.when(plain, cast).otherwise(matched)
 
 
 def parse_integer(text: Column) -> Column:

@@ -45,7 +45,9 @@ def json_fields(text: Column, names: list[str]) -> Column:
     Anything that is not one whole object gives a struct of NULLs.
     """
     body = trimmed(text)
-    whole = F.when(body.startswith("{") & body.endswith("}"), body)
+    whole = F.when(text.startswith("{") & text.endswith("}"), text).when(
+        body.startswith("{") & body.endswith("}"), body
+    )
     schema = ", ".join(f"`{name}` string" for name in names)
     return F.from_json(whole, schema, {"allowSingleQuotes": "false"})
 

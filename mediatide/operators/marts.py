@@ -22,10 +22,18 @@ def _loaded_at() -> Column:
 
 
 def _campaign_days(staged: DataFrame, totals: tuple[str, ...]) -> DataFrame:
+    """Totals per campaign and day, with the last attribution window in byte order.
+
+    A maximum of text cannot live in a hash aggregation's buffer; Spark would sort all rows
+    before combining any.  So the window is first a grouping key, which hashes, and its
+    maximum is taken over the few rows that are left.
+    """
     sums = [(money_sum(F.col(n)) if n in _MONEY else F.sum(n)).alias(n) for n in totals]
     window = F.max("attribution_window").alias("attribution_window")
     return (
-        staged.groupBy(*_CAMPAIGN_DAY)
+        staged.groupBy(*_CAMPAIGN_DAY, "attribution_window")
+        .agg(*sums)
+        .groupBy(*_CAMPAIGN_DAY)
         .agg(*sums, window)
         .withColumnRenamed("conversion_value_usd", "revenue_usd")
     )

@@ -99,11 +99,11 @@ def platform_comparison(performance: DataFrame) -> DataFrame:
     def add(total: str, name: str) -> Column:
         return money_sum(c(name)) if total in ("total_spend", "total_revenue") else F.sum(name)
 
-    reduced = performance.groupBy("platform", "campaign_id", "date").agg(
+    # The window is a key here, not a maximum of text, to keep this step a hash aggregation.
+    reduced = performance.groupBy("platform", "campaign_id", "date", "attribution_window").agg(
         *(add(total, n).alias(total) for total, n in totals.items()),
         *(F.sum(n).alias(f"_{n}_sum") for n in parts),
         *(F.count(n).alias(f"_{n}_count") for n in parts),
-        F.max("attribution_window").alias("attribution_window"),
     )
     platforms = reduced.groupBy("platform").agg(
         F.count_distinct("campaign_id").alias("campaigns"),

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mediatide.functions.metrics import cost_per_mille
 from mediatide.functions.numbers import ratio, round_half_up, trimmed
@@ -146,7 +147,10 @@ def stg_organic(cdm: DataFrame) -> DataFrame:
 # --- the older set ------------------------------------------------------------------------
 
 
-def _as_day(name: str) -> Column:
+def _as_day(cdm: DataFrame, name: str) -> Column:
+    """A stored day stays as it is, so that filters on it reach the partitions."""
+    if isinstance(cdm.schema[name].dataType, T.DateType):
+        return F.col(name)
     return F.to_date(F.col(name).cast("string"), "yyyy-MM-dd").alias(name)
 
 
@@ -161,7 +165,7 @@ def _rounded(name: str, digits: int) -> Column:
 def stg_paid_media_old(cdm: DataFrame) -> DataFrame:
     """Casts only; rows without spend are dropped."""
     return cdm.where(F.col("date").isNotNull() & (F.col("cost_usd") > 0)).select(
-        _as_day("date"), "platform", "channel_type", "campaign_id", "campaign_name", "objective",
+        _as_day(cdm, "date"), "platform", "channel_type", "campaign_id", "campaign_name", "objective",
         "ad_group_id", "ad_group_name", "ad_id", "ad_name", "country",
         *_casts("bigint", "impressions", "clicks"),
         _rounded("cost_usd", 2),
@@ -175,7 +179,7 @@ def stg_paid_media_old(cdm: DataFrame) -> DataFrame:
 def stg_organic_old(cdm: DataFrame) -> DataFrame:
     """Keeps the source's engagement rate, so it reads the older organic table."""
     return cdm.select(
-        _as_day("date"), "platform", "channel_type", "post_id", "content_type", "topic",
+        _as_day(cdm, "date"), "platform", "channel_type", "post_id", "content_type", "topic",
         *_casts("boolean", "is_viral"),
         *_casts("bigint", "reach", "impressions"),
         _rounded("engagement_rate", 5),
@@ -189,7 +193,7 @@ def stg_organic_old(cdm: DataFrame) -> DataFrame:
 def stg_installs_old(cdm: DataFrame) -> DataFrame:
     """Casts only; no attribution filter."""
     return cdm.select(
-        _as_day("install_date"), "appsflyer_id", "customer_user_id", "media_source", "channel",
+        _as_day(cdm, "install_date"), "appsflyer_id", "customer_user_id", "media_source", "channel",
         "campaign_id", "platform", "country", "device_type",
         *_casts("boolean", "is_retargeting"),
         "att_status",
