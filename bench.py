@@ -34,15 +34,19 @@ def main() -> None:
     i = Inputs(spark, SF_DIR)
 
     # Feeds and tables are stored first, as they are in use; deriving them is not timed.
-    feeds = {n: i.stored(i.raw(n), n) for n in ("raw_tiktok_ads", "raw_meta_ads", "raw_reddit_ads", "raw_installs", "raw_events")}
+    # They are spread over as many files as there are threads, as a landing of many files is.
+    def spread(df, name):
+        return i.stored(df.repartition(int(CPUS)), name)
+
+    feeds = {n: spread(i.raw(n), n) for n in ("raw_tiktok_ads", "raw_meta_ads", "raw_reddit_ads", "raw_installs", "raw_events")}
     ads = lambda: paid.combine_ads(
         [paid.tiktok_ads(feeds["raw_tiktok_ads"]), paid.meta_ads(feeds["raw_meta_ads"]), paid.reddit_ads(feeds["raw_reddit_ads"])]
     )
-    cdm_paid = i.stored(ads(), "cdm_paid_media_daily")
-    cdm_organic = i.stored(i.cdm_organic, "cdm_organic_daily")
-    cdm_installs = i.stored(attribution.installs(feeds["raw_installs"]), "cdm_installs")
-    recent = i.stored(i.recent_installs, "recent_installs"), i.stored(i.recent_events, "recent_events")
-    performance = i.stored(marts.channel_performance_daily(staging.stg_paid_media(cdm_paid)), "performance")
+    cdm_paid = spread(ads(), "cdm_paid_media_daily")
+    cdm_organic = spread(i.cdm_organic, "cdm_organic_daily")
+    cdm_installs = spread(attribution.installs(feeds["raw_installs"]), "cdm_installs")
+    recent = spread(i.recent_installs, "recent_installs"), spread(i.recent_events, "recent_events")
+    performance = spread(marts.channel_performance_daily(staging.stg_paid_media(cdm_paid)), "performance")
     staged_installs = staging.stg_installs(cdm_installs)
     staged_organic = staging.stg_organic(cdm_organic)
     target = i.scratch("bench_load")

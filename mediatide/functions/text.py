@@ -54,6 +54,5 @@ def json_fields(text: Column, names: list[str]) -> Column:
 
 def first_action_value(text: Column) -> Column:
     """`[{"value": "1.2"}, ...]` or a bare number, both as text, to a double."""
-    return F.coalesce(
-        parse_double(F.get_json_object(text, "$[0].value")), parse_double(text), F.lit(0.0)
-    )
+    value = F.coalesce(F.get_json_object(text, "$[0].value"), text)
+    return F.coalesce(parse_double(value), F.lit(0.0))

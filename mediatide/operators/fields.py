@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from mediatide import __version__
 from mediatide.functions.dates import iso_day
-from mediatide.functions.numbers import parse_double, parse_integer, trimmed, truncate_long
+from mediatide.functions.numbers import parse_double, parse_integer, truncate_long
 
 
 @dataclass(frozen=True)
@@ -94,7 +94,7 @@ class Feed:
         if not found:
             return F.lit(None).cast("date")
         value, kind = found
-        return iso_day(trimmed(value)) if isinstance(kind, T.StringType) else value.cast("date")
+        return iso_day(value) if isinstance(kind, T.StringType) else value.cast("date")
 
     def unix_seconds(self, name: str) -> Column:
         """Seconds since 1970; absent counts as zero, unreadable text as NULL."""

@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM interprets, and never compiles, methods above 8000 bytes.  Projections that would
+    # generate one are then run from several smaller methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
