@@ -2,7 +2,7 @@
 
 No join here pairs two raw row sets.  Spend meets installs after both are aggregated to the
 join's grain.  Events meet installs either as they are against one install per user (the
-result has the size of the events, and AQE splits a heavy user's partition), or reduced to
+result has the size of the events, and a heavy user is split by AQE), or reduced to
 one row per user and day first, so a user holding a third of all events contributes at most
 one row per day.  Rows without a user id are dropped before any shuffle: the blank id would
 be the heaviest key of all.
@@ -90,19 +90,32 @@ def first_installs(installs: DataFrame) -> DataFrame:
     )
 
 
+def _join_users(rows: DataFrame, users: DataFrame, how: str) -> DataFrame:
+    """Joins rows with one row per user, so that a user with a third of all rows is split.
+
+    AQE splits a heavy partition only where both inputs of a join come straight from a
+    shuffle.  `users` comes from an aggregation by the same key and would be joined in place,
+    with a heavy user's rows in one task.  A key that is computed makes Spark shuffle the
+    small side once more.
+    """
+    key = F.concat(F.col("customer_user_id"), F.lit("/"))
+    keyed = users.withColumn("_user", key).drop("customer_user_id")
+    return rows.withColumn("_user", key).join(keyed, "_user", how).drop("_user")
+
+
 def attributed_events(events: DataFrame, installs: DataFrame) -> DataFrame:
     """Every event of a user with a joinable install, with the day and channel of that install."""
     users = first_installs(installs).select(
         "customer_user_id", "install_date", F.col("channel").alias("install_channel")
     )
     known = events.withColumn("customer_user_id", _user()).where("customer_user_id IS NOT NULL")
-    return known.join(users, "customer_user_id")
+    return _join_users(known, users, "inner")
 
 
 def installs_with_events(installs: DataFrame, events: DataFrame) -> DataFrame:
     """Joinable installs whose user has any event."""
     users = events.select(_user().alias("customer_user_id")).dropna().distinct()
-    return joinable_installs(installs).join(users, "customer_user_id", "left_semi")
+    return _join_users(joinable_installs(installs), users, "left_semi")
 
 
 def _user_days(events: DataFrame) -> DataFrame:

@@ -11,9 +11,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from mediatide.functions.dates import month_start
 from mediatide.operators import attribution, organic, paid, profile, quality
 from mediatide.operators.fields import RunStamp
 from mediatide.schemas import CDM_SCHEMAS, PARTITION_COLUMN
@@ -105,6 +103,11 @@ class Job:
             self.dry_run,
         )
 
+    def stored(self, table: str, start: dt.date, end: dt.date) -> DataFrame:
+        return read_table(
+            self.spark, self.path(table), PARTITION_COLUMN[table], start, end, CDM_SCHEMAS[table]
+        )
+
     def discard_scratch(self) -> None:
         """Deletes the staged batches; the previews read them, so call it after those."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
@@ -182,23 +185,16 @@ def attribution_job(job: Job, replace_events: bool = True) -> JobResult:
     loads["cdm_funnel_events"] = job.load(
         events, "cdm_funnel_events", "incremental" if replace_events else APPEND
     )
-    stored = installs
-    if not job.dry_run and loads["cdm_installs"].rows:
-        first = loads["cdm_installs"].first_day.replace(day=1)
-        next_month = (loads["cdm_installs"].last_day.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
-        last = next_month - dt.timedelta(days=1)
-        stored = read_table(
-            job.spark, job.path("cdm_installs"), "install_date", first, last, CDM_SCHEMAS["cdm_installs"]
-        )
-    days = installs.select("install_date").distinct()
-    touched_days = stored.join(days, "install_date", "left_semi")
-    months = installs.select(month_start(F.col("install_date")).alias("_month")).distinct()
-    touched_months = stored.join(
-        months, month_start(F.col("install_date")) == F.col("_month"), "left_semi"
-    )
-    cohorts = job.staged(attribution.ltv_cohort(touched_months, job.stamp), "cdm_ltv_cohort")
+    days = months = installs
+    if not job.dry_run and loads["cdm_installs"].first_day:
+        first, last = loads["cdm_installs"].first_day, loads["cdm_installs"].last_day
+        next_month = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        # Both are read by partition.  A day in between without new installs gives the same rows again.
+        days = job.stored("cdm_installs", first, last)
+        months = job.stored("cdm_installs", first.replace(day=1), next_month - dt.timedelta(days=1))
+    cohorts = job.staged(attribution.ltv_cohort(months, job.stamp), "cdm_ltv_cohort")
     loads["cdm_funnel_summary"] = job.load(
-        attribution.funnel_summary(touched_days, job.stamp), "cdm_funnel_summary"
+        attribution.funnel_summary(days, job.stamp), "cdm_funnel_summary"
     )
     loads["cdm_ltv_cohort"] = job.load(cohorts, "cdm_ltv_cohort")
     result.previews = {

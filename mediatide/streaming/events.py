@@ -18,9 +18,20 @@ REPEAT_WITHIN = "1 day"
 
 
 def event_stream(
-    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet", **options: str
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    file_format: str = "parquet",
+    files_per_batch: int = 1000,
+    **options: str,
 ) -> DataFrame:
-    return spark.readStream.schema(schema).format(file_format).options(**options).load(path)
+    """Landed event files, `files_per_batch` at a time.
+
+    Repeats of an id meet in one task, and a stream cannot combine them before its shuffle;
+    the bound on a batch is what keeps an id with very many repeats within that task.
+    """
+    reader = spark.readStream.schema(schema).format(file_format).options(**options)
+    return reader.option("maxFilesPerTrigger", files_per_batch).load(path)
 
 
 def cleaned_events(raw: DataFrame, id_column: str, stamp: RunStamp | None = None) -> DataFrame:

@@ -80,6 +80,44 @@ def test_wide_mappings_stay_in_generated_code(spark, inputs):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_heavy_users_partition_is_split_in_the_join(spark, tmp_path):
+    """A third of all events, or installs, belong to one user; AQE gives that user's partition to several tasks."""
+    log = spark.range(0, 400000, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, 'heavy', concat('u', id % 5000)) AS customer_user_id", "uuid() AS event_name", "DATE '2025-01-01' AS event_date"
+    )
+    people = spark.range(5000).selectExpr(
+        "concat('a', id) AS appsflyer_id", "if(id = 0, 'heavy', concat('u', id)) AS customer_user_id",
+        "DATE '2025-01-01' AS install_date", "'Organic' AS channel", "false AS is_skan",
+    )
+    log.write.parquet(str(tmp_path / "log"))
+    people.write.parquet(str(tmp_path / "people"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lifecycle.attributed_events(
+            spark.read.parquet(str(tmp_path / "log")), spark.read.parquet(str(tmp_path / "people"))
+        )
+        counted = joined.selectExpr("max(length(event_name))", "count(*)")
+        assert counted.collect()[0][1] > 250000
+        assert "skew=true" in plan(counted)
+        installs = log.selectExpr("*", "event_name AS appsflyer_id", "event_date AS install_date", "'x' AS channel", "false AS is_skan")
+        installs.write.parquet(str(tmp_path / "installs"))
+        kept = lifecycle.installs_with_events(spark.read.parquet(str(tmp_path / "installs")), spark.read.parquet(str(tmp_path / "people")))
+        counted = kept.selectExpr("max(length(appsflyer_id))", "count(*)")
+        assert counted.collect()[0][1] > 250000
+        assert "skew=true" in plan(counted)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB")
+
+
 def test_user_level_steps_reuse_the_joins_partitioning(spark, inputs):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
