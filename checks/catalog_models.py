@@ -18,14 +18,13 @@ from checks.registry import (
     PAID_DOUBLES,
     PERFORMANCE,
     PERFORMANCE_OLD,
-    RATIOS,
     STAGES,
     STAGES_OLD,
     STAMP,
     Inputs,
     query,
 )
-from checks.oracle import div, div0, frame, long, month, week
+from checks.oracle import div, frame, long, month, week
 from mediatide.operators import attribution, lifecycle, marts, organic, paid, profile, reports, staging
 
 # --- feeds to the common data model ---------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from checks.feeds import FAULTY_INSTALLS, FAULTY_PAID, feed
 from checks.oracle import statement
-from mediatide.operators import attribution, marts, organic, paid, reports, staging
+from mediatide.operators import attribution, marts, organic, paid, staging
 from mediatide.operators.fields import RunStamp
 from mediatide.schemas import AUDIT_COLUMNS
 from mediatide.session import scratch_path

@@ -39,6 +39,7 @@ class AdPlatform:
     price_per_conversion: float | None = None
     roas_field: str | None = None
     native_ratios: dict[str, str] | None = None
+    window_field: str | None = None
 
 
 # Names of the platforms' fields, their sources and attribution windows.
@@ -127,6 +128,7 @@ REDDIT = AdPlatform(
         "shares": "shares",
     },
     native_ratios={"cpm": "ecpm", "cpc": "ecpc", "ctr": "ctr"},
+    window_field="attribution_window",
 )
 PLATFORMS = (TIKTOK, META, REDDIT)
 
@@ -161,8 +163,8 @@ def _cleaned(raw: DataFrame, platform: AdPlatform, extra: tuple[str, ...], round
         columns.append(F.nanvl(_roas(feed, platform, rounded), F.lit(0.0)).alias("_roas"))
     for ratio_name, field in (platform.native_ratios or {}).items():
         columns.append(money(field).alias(f"_{ratio_name}"))
-    if feed.type_of("attribution_window") is not None:
-        columns.append(F.col("attribution_window").alias("_window"))
+    if platform.window_field and feed.type_of(platform.window_field) is not None:
+        columns.append(F.col(platform.window_field).alias("_window"))
     return raw.select(*columns)
 
 
@@ -196,7 +198,7 @@ def normalise_ads(
 
     The canonical form has all 33 columns.  `rounded` gives the older table: ratios rounded,
     all recomputed, without likes, comments, shares and audit columns.
-    A feed that carries its attribution window (from the envelope) keeps it.
+    A platform that states its attribution window in the envelope keeps that one.
     """
     extra = platform.extra_engagement_rounded if rounded else platform.extra_engagement
     rows = _cleaned(raw, platform, extra, rounded)

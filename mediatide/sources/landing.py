@@ -79,8 +79,12 @@ def read_json_rows(
 
 
 def read_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A CSV report with a header; every column is text, found by its header name."""
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """A CSV report with a header; every column is text, found by its header name.
+
+    An empty field is an empty text, not an absent value, so no default stands in for it.
+    """
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    return reader.csv(path).na.fill("")
 
 
 def land_rows(rows: DataFrame, path: str, source: str, day: str, stamp: RunStamp | None = None) -> None:

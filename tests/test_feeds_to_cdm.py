@@ -68,6 +68,12 @@ def test_empty_response_has_types_and_damaged_file_stops(spark, tmp_path):
         landing.read_envelopes(spark, str(broken), "meta_ads").collect()
 
 
+def test_only_reddit_takes_its_window_from_the_feed(spark, rows):
+    raw = spark.createDataFrame([("x",)], "attribution_window string")
+    windows = [rows(f(raw))[0]["attribution_window"] for f in (paid.tiktok_ads, paid.meta_ads, paid.reddit_ads)]
+    assert windows == ["7d_click_1d_view", "7d_click_1d_view", "x"]
+
+
 def test_not_a_number_money_counts_as_zero(spark, rows):
     raw = spark.createDataFrame([("2025-01-01", "nan", "nan")], "stat_time_day string, spend string, clicks string")
     got = rows(paid.tiktok_ads(raw))[0]
@@ -110,17 +116,21 @@ def test_installs_flags_channels_and_primary(spark, rows, tmp_path):
     path = tmp_path / "installs.csv"
     path.write_text(
         "days_to_subscribe,appsflyer_id,install_time,media_source,is_primary_attribution,registration,subscribed,skad_campaign_id,platform,subscription_value_usd\n"
-        "12.7,a,2025-01-01 10:00:00,facebook,,Yes,1,,iOS,9.99\n"
+        "12.7,a,2025-01-01 10:00:00,facebook,TRUE,Yes,1,,iOS,9.99\n"
+        ",d,2025-01-01 10:00:00,,,true,true,,Android,\n"
+        ",e,2025-01-01 10:00:00,,1,true,true,,Android,\n"
         ",b,2025-01-01 10:00:00,partner_x,FALSE,true,true,,Android,\n"
         "x,c,2025-01-02 10:00:00,partner_x,true,no, TRUE ,S_1,iOS,abc\n"
     )
     raw = landing.read_report(spark, str(path))
     got = {r["appsflyer_id"]: r for r in rows(attribution.installs(raw, STAMP))}
-    assert set(got) == {"a", "c"}
+    assert set(got) == {"a", "c", "e"}  # an empty primary flag is not true, an absent one would be
+    assert (got["e"]["media_source"], got["e"]["channel"]) == ("", "")
     assert (got["a"]["channel"], got["a"]["registered"], got["a"]["subscribed"], got["a"]["days_to_subscribe"]) == ("Meta Ads", True, True, 12)
     assert (got["c"]["channel"], got["c"]["is_skan"], got["c"]["subscribed"], got["c"]["days_to_subscribe"]) == ("partner_x", True, True, None)
     assert got["c"]["subscription_value_usd"] == 0 and got["c"]["att_status"] == "not_applicable" and got["c"]["has_idfa"] is False
-    assert attribution.installs(raw, STAMP, primary_only=False).count() == 3
+    assert attribution.installs(raw, STAMP, primary_only=False).count() == 5
+    assert attribution.installs(raw.drop("is_primary_attribution", "media_source")).where("media_source = 'unknown'").count() == 5
     assert attribution.installs(raw).columns == schemas.CDM_INSTALLS.names
 
 
@@ -137,7 +147,7 @@ def test_events_payloads(spark, rows, tmp_path):
     assert (got["a"]["revenue_usd"], got["a"]["subscription_plan"], got["a"]["duration_min"]) == (11.99, "annual", 12)
     assert (got["b"]["revenue_usd"], got["b"]["share_platform"]) == (5.0, "tiktok")
     assert (got["c"]["revenue_usd"], got["c"]["event_properties"], got["c"]["sport_type"]) == (0, "not json", "")
-    assert got["d"]["event_date"] is None and got["d"]["event_properties"] == "{}"
+    assert got["d"]["event_date"] is None and got["d"]["event_properties"] == ""
 
 
 def test_staging_filters(spark):
