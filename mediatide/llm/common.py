@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mediatide.session import scratch_path
@@ -74,9 +74,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates the two star operations: every node hands its larger neighbours to the smallest one,
     then every node links itself and its smaller neighbours to the smallest.  Minima combine before
-    the shuffle and the joins have plain exchanges on both sides, so that a node with most of
-    the edges is split by AQE.  The loop ends when the edges no longer change.
+    the shuffle, and the joins are on a computed key (~a): both inputs then come straight from an
+    exchange, so that AQE splits a node with most of the edges.  The loop ends when the edges no longer change.
     """
+    key = F.bitwise_not("a").alias("k")
+
+    def lowest(links: DataFrame) -> DataFrame:
+        return links.groupBy("a").agg(F.min("b").alias("low")).select(key, F.least("a", "low").alias("low"))
+
     links = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
     now = store(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
@@ -86,20 +91,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         seen = mark
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        joined = large.join(low, "a")
-        small = joined.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        then = store(small.union(low.select("a", F.col("low").alias("b"))).distinct(), "edges")
-        discard(now)
+        handed = both.select("b", "a", key).where("b > a").join(lowest(both), "k")
+        large = store(handed.select(F.col("b").alias("a"), F.col("low").alias("b")).distinct(), "edges")
+        low = lowest(large)
+        joined = large.select("a", "b", key).join(low, "k").where("b <> low")
+        small = joined.select(F.col("b").alias("a"), F.col("low").alias("b"))
+        own = low.select(F.bitwise_not("k").alias("a"), F.col("low").alias("b"))
+        then = store(small.union(own).distinct(), "edges")
+        discard(now, large)
         now = then
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def salted_ranks(df: DataFrame, keys: list[str], order: Iterable[str], rows_per_task: int = 50_000) -> DataFrame:
+def salted_ranks(df: DataFrame, keys: list[str], order: Iterable[str], rows_per_range: int = 50_000) -> DataFrame:
     """Adds `rank`, the row's place from 0 within its keys by `order` (a long hash first).
 
     A key may hold most rows: it is cut into ranges of the hash, each range ranks its own rows, and
@@ -107,12 +112,10 @@ def salted_ranks(df: DataFrame, keys: list[str], order: Iterable[str], rows_per_
     The result must not be evaluated over a source that changes.
     """
     order = list(order)
-    ranges = max(1, -(-df.count() // rows_per_task))
+    ranges = 64 + df.count() // rows_per_range
     width = float(1 << 64) / ranges
     cut = F.floor((F.col(order[0]).cast("double") + float(1 << 63)) / F.lit(width)).cast("long")
     marked = df.withColumn("_range", cut)
-    from pyspark.sql import Window
-
     counts = marked.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

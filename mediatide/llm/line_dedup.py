@@ -51,14 +51,14 @@ class LineRuns:
         self.levels: list[list[str]] = []
         self.folder = scratch_path(spark, "runs")
 
-    def _write(self, keys: DataFrame, level: int) -> DataFrame:
+    def _write(self, keys: DataFrame, level: int) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
         writer = keys.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.folder}/{name}")
         writer.saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
-        return self.spark.table(name)
+        return name
 
     def compact(self) -> None:
         """Merges the runs of every level that is full into one run of the next."""
@@ -80,8 +80,10 @@ class LineRuns:
         fresh = lines.groupBy(*KEY).agg(F.min("did").alias("holder"))
         for name in (n for level in self.levels for n in level):
             fresh = fresh.hint("merge").join(self.spark.table(name).select(*KEY), KEY, "left_anti")
-        run = self._write(fresh, 0)
-        found = lines.join(run.hint("merge"), KEY, "left")
+        name = self._write(fresh, 0)
+        # Read as plain files, not as buckets: a line that most documents hold can then be split between tasks.
+        run = self.spark.read.schema(fresh.schema).parquet(f"{self.folder}/{name}")
+        found = lines.join(run, KEY, "left")
         return found.select("did", "tid", "pos", F.coalesce(F.col("holder") == F.col("did"), F.lit(False)).alias("keep"))
 
     def close(self) -> None:
