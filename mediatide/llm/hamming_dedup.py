@@ -7,8 +7,9 @@ has, for allowed chunk errors e_1..e_16 with sum(e_i + 1) = 26, some chunk i wit
 10 chunks allow one error (4 keys, one for each value left out), 6 allow none (1 key), 46 keys a document.
 
 Documents with the same set of shingles form one class and only classes are compared.  In every key the members
-are first compared with the key's smallest member, which joins groups of near copies without listing their
-pairs; then members of a key that are still in different components are compared with each other.  A pair goes
+are first compared with its most central one, which joins groups of near copies without listing their pairs.  Then members of a key
+that are still alone are compared with each other, each pair in the first key that it shares; and every member meets the
+whole components, other than its own, that it shares a key with, in blocks in memory.  A pair of documents goes
 on when its signatures are within the threshold, and links when 100 * |a & b| >= 80 * |a | b| on the full sets.
 
 Defined results: documents without words have an empty set and link with nothing; rows without doc_id take part
@@ -21,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +56,8 @@ class WordHashes(dict):
 
 
 MAX_WORDS_KEPT = 400_000
+SHINGLES_AT_ONCE = 500_000
+ROWS_PER_BUNDLE = 1_000
 
 
 def shingles(text: str | None, words: WordHashes) -> np.ndarray:
@@ -131,15 +135,36 @@ def keys_of(sig: str) -> Column:
     return F.array(*keys)
 
 
+def _differing(a: str, b: str, i: int) -> Column:
+    """Top bits of the lanes of chunk i that differ: such a lane of the exclusive or overflows into its top bit."""
+    x = F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))
+    return (x + F.lit(ALL_SYMBOLS)).bitwiseAND(F.lit(TOP_BITS))
+
+
 def errors(a: str, b: str) -> Column:
-    """In how many values two signatures differ: a lane of the exclusive or overflows into its top bit if it is not 0."""
+    """In how many values two signatures differ."""
     total = F.lit(0)
     for i in range(CHUNKS):
-        x = F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))
-        total = total + F.bit_count((x + F.lit(ALL_SYMBOLS)).bitwiseAND(F.lit(TOP_BITS)))
+        total = total + F.bit_count(_differing(a, b, i))
     return total
 
 
+def first_key(a: str, b: str) -> Column:
+    """Which of the 46 keys is the first that two signatures share, NULL if none."""
+    found, place = F.lit(None).cast("int"), 0
+    options = []
+    for i in range(CHUNKS):
+        lanes = _differing(a, b, i)
+        options.append((lanes == 0, F.lit(place)))
+        if i < LOOSE:
+            for j in range(PER_CHUNK):
+                options.append((lanes == F.lit(1 << (LANE * j + SYMBOL_BITS)), F.lit(place + j)))
+        place += PER_CHUNK if i < LOOSE else 1
+    for condition, value in reversed(options):
+        found = F.when(condition, value).otherwise(found)
+    return found
+
+
 def identified(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.alias("text"))
@@ -157,10 +182,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = store(grouped.join(lead, F.col("node") == F.col("rid")).drop("rid"), "classes")
     signatures = classes.select("node", "sig")
 
-    keyed = classes.select(F.explode(keys_of("sig")).alias("key"), "node")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1")
-    shared = shared.select(F.bitwise_not("key").alias("k"), "lead")
-    members = store(keyed.select(F.bitwise_not("key").alias("k"), "node").join(shared, "k"), "members")
+    keyed = classes.select(F.posexplode(keys_of("sig")).alias("place", "key"), "node")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.bitwise_not("key").alias("k"), "n")
+    sharing = store(keyed.select(F.bitwise_not("key").alias("k"), "place", "node").join(shared, "k"), "sharing")
+    # A class whose keys many others share is close to what its group varies: the best lead for the key.
+    central = store(sharing.groupBy("node").agg(F.sum("n").alias("central")), "central")
+    ranked = sharing.select("k", "node").join(central, "node")
+    leads = ranked.groupBy("k").agg(F.max(F.struct("central", -F.col("node"))).alias("m"))
+    leads = leads.select(F.bitwise_not("k").alias("key"), (-F.col("m").getField("col2")).alias("lead"))
+    members = sharing.select(F.bitwise_not("k").alias("key"), "place", "node").join(store(leads, "leads"), "key")
+    members = store(members.select(F.bitwise_not("key").alias("k"), "place", "node", "lead"), "members")
+    discard(sharing, central)
 
     def within(pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b) those whose signatures are within the threshold."""
@@ -168,15 +200,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         both = left.join(signatures.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
         return both.where(errors("sig_a", "sig_b") <= MAX_ERRORS).select("a", "b")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        """Of stored pairs those that link on their full sets."""
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        ids = classes.join(needed, "node").select("doc_id", "tid", "node")
-        ids = ids.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tid", "node")
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """The full sets of distinct nodes, as a stored table."""
+        ids = classes.join(nodes, "node").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tid", "node")
         # One row of each class's own document: rows that repeat its id and text hold the same set.
         chosen = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tid", "text").join(ids, ["did", "tid"])
         sets = chosen.select("node", "text").mapInArrow(_sets, "node long, hashes array<long>")
-        sets = store(sets.dropDuplicates(["node"]), "shingle_sets")
+        return store(sets.dropDuplicates(["node"]), "shingle_sets")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        """Of stored pairs those that link on their full sets."""
+        sets = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
         left = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a")), "a")
         both = left.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("set_b")), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -189,25 +223,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     stars = store(within(stars), "stars")
     links = confirmed(stars, "links")
     labels = store(connected_components(links), "labels")
-
     named = members.join(labels.select("node", "component"), "node", "left")
-    named = store(named.select("k", "node", F.coalesce("component", "node").alias("label"), "lead"), "named")
-    # Pairs of a key in different components: those outside the component of the key's lead, with all members.
-    leads = named.where("node = lead").select(F.bitwise_not("k").alias("key"), F.col("label").alias("main"))
-    outside = named.select(F.bitwise_not("k").alias("key"), "node", "label").join(leads, "key").where("label <> main")
-    outside = store(outside.join(signatures, "node"), "outside")
-    mixed = outside.select("key").distinct()
-    others = named.select(F.bitwise_not("k").alias("key"), "node", "label").join(mixed, "key")
-    others = store(others.join(signatures, "node"), "others")
-    a = outside.select("key", F.col("node").alias("a"), F.col("label").alias("label_a"), "main", F.col("sig").alias("sig_a"))
-    b = others.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("sig").alias("sig_b"))
-    once = (F.col("label_b") == F.col("main")) | (F.col("a") < F.col("b"))
-    apart = (F.col("label_a") != F.col("label_b")) & once & (errors("sig_a", "sig_b") <= MAX_ERRORS)
-    across = a.join(b, (a["key"] == b["key"]) & apart).select("a", "b").distinct()
-    across = store(across, "across")
-    more = confirmed(across, "more_links")
-    components = store(connected_components(links.union(more)), "components")
-    discard(members, named, outside, others, stars, across, links, more, labels)
+    named = store(named.select(F.bitwise_not("k").alias("key"), "place", "node", "component"), "named")
+
+    # Members that are still alone, with each other: each pair in the first key that it shares.
+    alone = named.where("component IS NULL").select("key", "place", "node")
+    crowded = alone.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.bitwise_not("key").alias("k"))
+    alone = alone.withColumn("k", F.bitwise_not("key")).join(crowded, "k", "left_semi").join(signatures, "node")
+    alone = store(alone.select("key", "place", "node", "sig"), "alone")
+    a = alone.select(F.col("key").alias("key_a"), F.col("node").alias("a"), F.col("sig").alias("sig_a"), "place")
+    b = alone.select(F.col("key").alias("key_b"), F.col("node").alias("b"), F.col("sig").alias("sig_b"))
+    near = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (errors("sig_a", "sig_b") <= MAX_ERRORS)
+    pairs = store(a.join(b, near & (first_key("sig_a", "sig_b") == F.col("place"))).select("a", "b"), "lone_pairs")
+    lone_links = confirmed(pairs, "lone_links")
+
+    # Every member with the whole components, other than its own, that it shares a key with.
+    parts = named.where("component IS NOT NULL").select("key", F.col("component").alias("other")).distinct()
+    parts = parts.select(F.bitwise_not("key").alias("k"), "other")
+    strange = (F.col("component").isNull()) | (F.col("component") < F.col("other"))
+    visits = named.withColumn("k", F.bitwise_not("key")).join(parts, "k").where(strange).select("node", "other").distinct()
+    visits = store(visits, "visits")
+    visit_links = _visited(visits, labels, classes, sets_of, percent)
+    components = store(connected_components(links.union(lone_links).union(visit_links)), "components")
+    discard(members, named, alone, pairs, stars, links, lone_links, labels, visits, visit_links)
 
     nodes = store(classes.select("f1", "f2", "node").join(components, "node", "left")
                   .select("f1", "f2", F.coalesce("component", "node").alias("component")), "nodes")
@@ -227,6 +265,66 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
 
 
+def _meetings(percent: int):
+    """Of a bundle of (component, block, share): each visitor with the first member it links to."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        frame = frame.sort_values(["other", "block", "share", "visitor"], ignore_index=True)
+        for _, group in frame.groupby(["other", "block", "share"], sort=False):
+            hosts, guests = group[~group["visitor"]], group[group["visitor"]]
+            if not len(hosts) or not len(guests):
+                continue
+            sets = [np.asarray(h) for h in hosts["hashes"]]
+            sizes = np.array([len(x) for x in sets])
+            flat = np.concatenate(sets)
+            order = np.argsort(flat, kind="stable")
+            owner, flat = np.repeat(np.arange(len(sets)), sizes)[order], flat[order]
+            nodes = hosts["node"].to_numpy()
+            for node, mine in zip(guests["node"], guests["hashes"], strict=True):
+                mine = np.asarray(mine)
+                low, high = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
+                n = high - low
+                at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                common = np.bincount(owner[at], minlength=len(sets))
+                linked = np.flatnonzero(100 * common >= percent * (sizes + len(mine) - common))
+                if len(linked):
+                    found.append((int(node), int(nodes[linked[0]])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _visited(visits: DataFrame, labels: DataFrame, classes: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Links between visitors and the components they visit: one for each such pair that has any.
+
+    A component is cut into blocks of about SHINGLES_AT_ONCE shingles and so are its visitors; each block of members meets each
+    block of visitors in memory, by an index of shingles, so that no pair of documents is ever a row.
+    """
+    weights = classes.select("node", "n_shingles")
+    hosts = labels.select("node", F.col("component").alias("other")).join(visits.select("other").distinct(), "other", "left_semi")
+    hosts = store(hosts.join(weights, "node"), "hosts")
+    blocks = hosts.groupBy("other").agg(F.ceil(F.sum("n_shingles") / SHINGLES_AT_ONCE).alias("blocks"))
+    shares = visits.join(weights, "node").groupBy("other").agg(F.ceil(F.sum("n_shingles") / SHINGLES_AT_ONCE).alias("shares"))
+    cuts = store(blocks.join(shares, "other").select(F.bitwise_not("other").alias("o"), "blocks", "shares"), "cuts")
+    sets = sets_of(hosts.select("node").union(visits.select("node")).distinct())
+    zero = F.lit(0).cast("long")
+
+    def spread(rows: DataFrame, own: str, all_: str, block: str, share: str, visitor: bool) -> DataFrame:
+        cut = rows.select("node", "other", F.bitwise_not("other").alias("o")).join(cuts, "o")
+        cut = cut.withColumn(block, F.pmod(F.xxhash64("node"), F.col(own)))
+        cut = cut.withColumn(share, F.explode(F.sequence(zero, F.col(all_) - 1)))
+        return cut.select("node", "other", "block", "share", F.lit(visitor).alias("visitor"))
+
+    meeting = spread(hosts, "blocks", "shares", "block", "share", False).union(spread(visits, "shares", "blocks", "share", "block", True))
+    meeting = store(meeting, "meetings")
+    bundles = 1 + meeting.count() // ROWS_PER_BUNDLE
+    bundled = meeting.withColumn("bundle", F.pmod(F.xxhash64("other", "block", "share"), F.lit(bundles))).join(sets, "node")
+    out = store(bundled.groupBy("bundle").applyInPandas(_meetings(percent), "a long, b long"), "visit_links")
+    discard(hosts, cuts, sets, meeting)
+    return out
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_shingles", "component_id", "kept")
