@@ -251,10 +251,10 @@ def weeks_of_one_side_only(i: Inputs) -> DataFrame:
 
 @query(
     "A10 O3",
-    f"SELECT {week('date')} AS week, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE) AS total_spend, {long('SUM(impressions)')} AS total_impressions, "
+    f"SELECT {week('date')} AS week, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE) AS total_spend, {long('SUM(impressions)')} AS total_impressions, "
     f"{long('SUM(installs)')} AS total_installs, {long('SUM(conversions)')} AS total_subscriptions, "
-    f"CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 6))) AS DOUBLE) AS total_revenue, {div('CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE)')} AS blended_roas, "
-    f"{div('CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'SUM(installs)')} AS blended_cpi, {div('CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'SUM(conversions)')} AS blended_cps "
+    f"CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 18))) AS DOUBLE) AS total_revenue, {div('CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE)')} AS blended_roas, "
+    f"{div('CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'SUM(installs)')} AS blended_cpi, {div('CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'SUM(conversions)')} AS blended_cps "
     "FROM mart_performance_old GROUP BY 1",
     "total_spend total_revenue blended_roas blended_cpi blended_cps",
 )
@@ -276,10 +276,10 @@ def rpt_platform_comparison(i: Inputs) -> DataFrame:
 
 @query(
     "A12 O4",
-    f"SELECT platform, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE) AS total_spend, {long('SUM(installs)')} AS total_installs, "
-    f"{long('SUM(conversions)')} AS total_conversions, CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 6))) AS DOUBLE) AS total_revenue, AVG(cpm) AS avg_cpm, "
+    f"SELECT platform, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE) AS total_spend, {long('SUM(installs)')} AS total_installs, "
+    f"{long('SUM(conversions)')} AS total_conversions, CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 18))) AS DOUBLE) AS total_revenue, AVG(cpm) AS avg_cpm, "
     f"AVG(ctr) AS avg_ctr, AVG(cpi) AS avg_cpi, AVG(roas) AS avg_roas, "
-    f"{div('CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE)')} AS overall_roas FROM mart_performance_old GROUP BY 1",
+    f"{div('CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE)')} AS overall_roas FROM mart_performance_old GROUP BY 1",
     f"total_spend total_revenue {_AVERAGES}",
 )
 def rpt_platform_comparison_old(i: Inputs) -> DataFrame:
@@ -337,7 +337,7 @@ def sample_rows(i: Inputs) -> DataFrame:
 @query(
     "A24",
     "SELECT channel, COUNT(appsflyer_id) AS installs, COUNT(*) FILTER (subscribed) AS subscribed, "
-    f"{frame('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE)', 3)} AS revenue_usd, {frame('AVG(CAST(subscribed AS INT))', 3)} AS overall_cvr "
+    f"{frame('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE)', 3)} AS revenue_usd, {frame('AVG(CAST(subscribed AS INT))', 3)} AS overall_cvr "
     "FROM cdm_installs GROUP BY 1",
     "revenue_usd overall_cvr",
 )
@@ -366,7 +366,7 @@ def skan_share(i: Inputs) -> DataFrame:
 
 @query(
     "A27",
-    f"SELECT funnel_status, COUNT(installs) AS rows, {long('SUM(installs)')} AS installs, CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 6))) AS DOUBLE) AS revenue "
+    f"SELECT funnel_status, COUNT(installs) AS rows, {long('SUM(installs)')} AS installs, CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 18))) AS DOUBLE) AS revenue "
     "FROM cohort_table GROUP BY 1",
     "revenue",
 )
@@ -376,9 +376,9 @@ def status_rollup(i: Inputs) -> DataFrame:
 
 @query(
     "A28 G3",
-    f"SELECT platform, COUNT(campaign_id) AS rows, {frame('CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE)', 2)} AS spend_usd, "
+    f"SELECT platform, COUNT(campaign_id) AS rows, {frame('CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE)', 2)} AS spend_usd, "
     f"{long('SUM(impressions)')} AS impressions, {long('SUM(installs)')} AS installs, {frame('AVG(cpi)', 2)} AS avg_cpi, "
-    f"{frame('AVG(ctr)', 2)} AS avg_ctr, format('${{:,}}', {long(frame('CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE)', 0))}) AS spend_text "
+    f"{frame('AVG(ctr)', 2)} AS avg_ctr, format('${{:,}}', {long(frame('CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE)', 0))}) AS spend_text "
     "FROM cdm_paid GROUP BY 1",
     "spend_usd avg_cpi avg_ctr",
 )
@@ -445,10 +445,10 @@ def rate_check(i: Inputs) -> DataFrame:
     "J3 X1",
     f"""SELECT v.*, spend_usd, {div('revenue_usd', 'installs')} AS ltv_per_install, {div('spend_usd', 'installs')} AS cac,
   {div('revenue_usd', 'installs')} / NULLIF({div('spend_usd', 'installs')}, 0) AS ltv_to_cac
-FROM (SELECT cohort_month, channel, {long('SUM(installs)')} AS installs, CAST(SUM(CAST(cohort_revenue_usd AS DECIMAL(38, 6))) AS DOUBLE) AS revenue_usd
+FROM (SELECT cohort_month, channel, {long('SUM(installs)')} AS installs, CAST(SUM(CAST(cohort_revenue_usd AS DECIMAL(38, 18))) AS DOUBLE) AS revenue_usd
   FROM mart_ltv GROUP BY 1, 2) v
 LEFT JOIN (SELECT {month('date')} AS cohort_month, CASE platform WHEN 'tiktok' THEN 'TikTok Ads'
-  WHEN 'instagram_meta' THEN 'Meta Ads' ELSE 'Reddit Ads' END AS channel, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE) AS spend_usd
+  WHEN 'instagram_meta' THEN 'Meta Ads' ELSE 'Reddit Ads' END AS channel, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE) AS spend_usd
   FROM mart_performance GROUP BY 1, 2) s ON v.cohort_month = s.cohort_month AND v.channel = s.channel""",
     "revenue_usd spend_usd ltv_per_install cac ltv_to_cac",
 )
@@ -460,8 +460,8 @@ def ltv_to_cac(i: Inputs) -> DataFrame:
     "J4",
     f"""SELECT a.*, spend_usd, clicks, reported_installs, {div('spend_usd', 'attributed_installs')} AS cost_per_attributed_install
 FROM (SELECT campaign_id, COUNT(*) AS attributed_installs, COUNT(*) FILTER (subscribed) AS subscriptions,
-  CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE) AS revenue_usd FROM stg_installs GROUP BY 1) a
-LEFT JOIN (SELECT campaign_id, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE) AS spend_usd, {long('SUM(clicks)')} AS clicks,
+  CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE) AS revenue_usd FROM stg_installs GROUP BY 1) a
+LEFT JOIN (SELECT campaign_id, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE) AS spend_usd, {long('SUM(clicks)')} AS clicks,
   {long('SUM(installs)')} AS reported_installs FROM stg_paid GROUP BY 1) r ON a.campaign_id = r.campaign_id""",
     "revenue_usd spend_usd cost_per_attributed_install",
 )

@@ -97,7 +97,7 @@ FROM orders
 # The same installs in the months of the events and with the events' users, for the joins.
 FEEDS["raw_recent_installs"] = f"""
 SELECT 'af_' || CAST(o_orderkey AS STRING) AS appsflyer_id,
-  CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'cu_' || CAST(o_custkey % 500 AS STRING) END AS customer_user_id,
+  CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'cu_' || CAST(o_custkey % (SELECT MAX(user_id) + 1 FROM events) AS STRING) END AS customer_user_id,
   CAST(DATE '2023-10-01' + CAST(o_orderkey % 120 AS INT) AS STRING) || ' 10:00:00' AS install_time,
   {_INSTALL_COLUMNS}
 FROM orders

@@ -240,7 +240,7 @@ _COUNTS = (
     "COUNT(appsflyer_id) AS installs, COUNT(*) FILTER (registered) AS registrations, "
     "COUNT(*) FILTER (first_activity) AS first_activities, COUNT(*) FILTER (paywall_viewed) AS paywall_views, "
     "COUNT(*) FILTER (trial_started) AS trials, COUNT(*) FILTER (subscribed) AS subscriptions, "
-    "CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE) AS revenue_usd"
+    "CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE) AS revenue_usd"
 )
 _ATT = (
     "COUNT(*) FILTER (att_status = 'authorized') AS ios_att_authorized, "
@@ -272,7 +272,7 @@ SELECT *, {status('sub_rate')} AS funnel_status FROM (
 SELECT * EXCLUDE (avg_days), {frame('avg_days', 1)} AS avg_days_to_sub, {frame(div0('subscribers', 'installs'), 4)} AS sub_rate,
   {frame(div0('revenue_usd', 'subscribers'), 2)} AS arpu, {frame(div0('revenue_usd', 'installs'), 2)} AS ltv_per_install
 FROM (SELECT {month('install_date')} AS cohort_month, channel, subscription_type, COUNT(appsflyer_id) AS installs,
-  COUNT(*) FILTER (subscribed) AS subscribers, CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE) AS revenue_usd,
+  COUNT(*) FILTER (subscribed) AS subscribers, CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE) AS revenue_usd,
   AVG(CAST(days_to_subscribe AS DOUBLE)) AS avg_days FROM cdm_installs GROUP BY 1, 2, 3))"""
 
 # --- staging -------------------------------------------------------------------------------
@@ -360,12 +360,12 @@ _DAY_KEYS = "date, platform, campaign_id, campaign_name, objective, country"
 MODELS["mart_performance"] = f"""
 SELECT *, {_EFFICIENCY}, {div('video_completions', 'video_views')} AS video_completion_rate FROM (
 SELECT {_DAY_KEYS}, {_sums('impressions clicks installs conversions video_views video_completions engagements')},
-  CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE) AS cost_usd, CAST(SUM(CAST(conversion_value_usd AS DECIMAL(38, 6))) AS DOUBLE) AS revenue_usd, MAX(attribution_window) AS attribution_window
+  CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE) AS cost_usd, CAST(SUM(CAST(conversion_value_usd AS DECIMAL(38, 18))) AS DOUBLE) AS revenue_usd, MAX(attribution_window) AS attribution_window
 FROM stg_paid GROUP BY {_DAY_KEYS})"""
 MODELS["mart_performance_old"] = f"""
 SELECT *, {_EFFICIENCY} FROM (
 SELECT {_DAY_KEYS}, {_sums('impressions clicks installs conversions video_views engagements')},
-  CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE) AS cost_usd, CAST(SUM(CAST(conversion_value_usd AS DECIMAL(38, 6))) AS DOUBLE) AS revenue_usd, MAX(attribution_window) AS attribution_window
+  CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE) AS cost_usd, CAST(SUM(CAST(conversion_value_usd AS DECIMAL(38, 18))) AS DOUBLE) AS revenue_usd, MAX(attribution_window) AS attribution_window
 FROM stg_paid_old GROUP BY {_DAY_KEYS})"""
 
 _STAGES = _COUNTS.replace("COUNT(appsflyer_id)", "COUNT(*)") + (
@@ -402,10 +402,10 @@ def _ltv(source: str) -> str:
     )
     return f"""
 SELECT {month('install_date')} AS cohort_month, channel, platform, COALESCE(subscription_type, 'unknown') AS subscription_type,
-  COUNT(*) AS installs, COUNT(*) FILTER (subscribed) AS subscribers, CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE) AS cohort_revenue_usd,
+  COUNT(*) AS installs, COUNT(*) FILTER (subscribed) AS subscribers, CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE) AS cohort_revenue_usd,
   {div('COUNT(*) FILTER (subscribed)', 'COUNT(*)')} AS sub_rate,
-  {div('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'COUNT(*) FILTER (subscribed)')} AS arpu,
-  {div('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'COUNT(*)')} AS ltv_per_install,
+  {div('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'COUNT(*) FILTER (subscribed)')} AS arpu,
+  {div('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'COUNT(*)')} AS ltv_per_install,
   AVG(CASE WHEN subscribed THEN CAST(days_to_subscribe AS DOUBLE) END) AS avg_days_to_convert, {mix}
 FROM {source} GROUP BY {month('install_date')}, channel, platform, COALESCE(subscription_type, 'unknown')"""
 
@@ -414,9 +414,9 @@ MODELS["mart_ltv"] = _ltv("stg_installs")
 MODELS["mart_faulty_ltv"] = _ltv("stg_faulty_installs")
 MODELS["mart_ltv_old"] = f"""
 SELECT {month('install_date')} AS cohort_month, channel, subscription_type, COUNT(*) AS installs,
-  COUNT(*) FILTER (subscribed) AS subscribers, CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE) AS cohort_revenue_usd,
-  {div('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'COUNT(*) FILTER (subscribed)')} AS arpu_subscribers,
-  {div('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'COUNT(*)')} AS ltv_per_install,
+  COUNT(*) FILTER (subscribed) AS subscribers, CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE) AS cohort_revenue_usd,
+  {div('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'COUNT(*) FILTER (subscribed)')} AS arpu_subscribers,
+  {div('CAST(SUM(CAST(subscription_value_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'COUNT(*)')} AS ltv_per_install,
   AVG(CASE WHEN subscribed THEN days_to_subscribe END) AS avg_days_to_convert
 FROM stg_installs_old GROUP BY 1, 2, 3"""
 
@@ -446,9 +446,9 @@ FROM stg_organic_old GROUP BY 1, 2, 3, 4"""
 # --- reports -------------------------------------------------------------------------------
 
 MODELS["paid_weekly"] = f"""
-SELECT {week('date')} AS week, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE) AS total_spend, {long('SUM(impressions)')} AS paid_impressions,
+SELECT {week('date')} AS week, CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE) AS total_spend, {long('SUM(impressions)')} AS paid_impressions,
   {long('SUM(installs)')} AS total_installs, {long('SUM(conversions)')} AS paid_subscriptions,
-  CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 6))) AS DOUBLE) AS paid_revenue FROM mart_performance GROUP BY 1"""
+  CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 18))) AS DOUBLE) AS paid_revenue FROM mart_performance GROUP BY 1"""
 MODELS["organic_weekly"] = f"""
 SELECT {week('date')} AS week, {long('SUM(reach)')} AS organic_reach, {long('SUM(engagements)')} AS organic_engagements,
   AVG(blended_engagement_rate) AS avg_organic_eng_rate, {long('SUM(follower_delta)')} AS follower_growth
@@ -462,9 +462,9 @@ SELECT COALESCE(p.week, o.week) AS week, total_spend, paid_impressions, total_in
 FROM paid_weekly p FULL OUTER JOIN organic_weekly o ON p.week = o.week"""
 MODELS["platform_comparison"] = f"""
 SELECT platform, COUNT(DISTINCT campaign_id) AS campaigns, COUNT(DISTINCT date) AS active_days,
-  CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE) AS total_spend, {long('SUM(impressions)')} AS total_impressions, {long('SUM(installs)')} AS total_installs,
-  {long('SUM(conversions)')} AS total_conversions, CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 6))) AS DOUBLE) AS total_revenue, AVG(cpm) AS avg_cpm,
-  AVG(ctr) AS avg_ctr, AVG(cpi) AS avg_cpi, AVG(roas) AS avg_roas, {div('CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 6))) AS DOUBLE)', 'CAST(SUM(CAST(cost_usd AS DECIMAL(38, 6))) AS DOUBLE)')} AS overall_roas,
+  CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE) AS total_spend, {long('SUM(impressions)')} AS total_impressions, {long('SUM(installs)')} AS total_installs,
+  {long('SUM(conversions)')} AS total_conversions, CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 18))) AS DOUBLE) AS total_revenue, AVG(cpm) AS avg_cpm,
+  AVG(ctr) AS avg_ctr, AVG(cpi) AS avg_cpi, AVG(roas) AS avg_roas, {div('CAST(SUM(CAST(revenue_usd AS DECIMAL(38, 18))) AS DOUBLE)', 'CAST(SUM(CAST(cost_usd AS DECIMAL(38, 18))) AS DOUBLE)')} AS overall_roas,
   {div('SUM(installs)', 'SUM(impressions)')} AS install_rate, MAX(attribution_window) AS attribution_window
 FROM mart_performance GROUP BY 1"""
 

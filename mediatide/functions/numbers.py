@@ -70,13 +70,11 @@ def ratio_floor_one(numerator: Column, denominator: Column) -> Column:
 def money_sum(amount: Column) -> Column:
     """Total of money, the same for every order of the rows.
 
-    Amounts are added as whole millionths, so neither the number of partitions nor a task
-    that runs again changes the last digit.  A total that does not fit (a trillion, an
-    infinity, NaN) is the plain sum.
+    Amounts are added as decimals with 18 digits after the point, so neither the number of partitions
+    nor a task that runs again changes the last digit.  NaN is no amount and is left out, as NULL is.
+    An amount or a total of 1e20 or more, an infinity included, is an error.
     """
-    plain = F.sum(amount)
-    exact = F.try_sum(F.rint(amount * 1e6).try_cast("bigint")) / 1e6
-    return F.when(F.abs(plain) < 1e12, exact).otherwise(plain)
+    return F.sum(F.when(~F.isnan(amount), amount).cast("decimal(38,18)")).cast("double")
 
 
 def round_half_up(value: Column, digits: int) -> Column:

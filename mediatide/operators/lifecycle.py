@@ -80,14 +80,17 @@ def joinable_installs(installs: DataFrame) -> DataFrame:
 
 
 def first_installs(installs: DataFrame) -> DataFrame:
-    """Each user's first install (by day, then id), reduced before the shuffle."""
+    """Each user's first install (by day, then id) of those whose day is known.
+
+    The day is found by a hash aggregation over all installs; a text cannot be in one, so the
+    tie among a user's installs of that day is settled over those rows only.
+    """
+    known = joinable_installs(installs).where("install_date IS NOT NULL")
+    days = known.groupBy("customer_user_id").agg(F.min("install_date").alias("_first"))
+    rows = known.select("customer_user_id", "install_date", "appsflyer_id", "channel")
+    same_day = _join_users(rows, days, "inner").where("install_date = _first")
     first = F.min(F.struct("install_date", "appsflyer_id", "channel")).alias("first")
-    return (
-        joinable_installs(installs)
-        .groupBy("customer_user_id")
-        .agg(first)
-        .select("customer_user_id", "first.*")
-    )
+    return same_day.groupBy("customer_user_id").agg(first).select("customer_user_id", "first.*")
 
 
 def _join_users(rows: DataFrame, users: DataFrame, how: str) -> DataFrame:
@@ -174,7 +177,7 @@ def subscription_months(events: DataFrame) -> DataFrame:
     subs = events.where(c("event_name").isin(STARTED, RENEWED, CANCELLED)).select(
         _user().alias("user"),
         month_start(c("event_date")).alias("month"),
-        "event_timestamp",
+        F.coalesce(c("event_timestamp").try_cast("timestamp"), c("event_date").cast("timestamp")).alias("time"),
         "event_name",
         "revenue_usd",
         "subscription_plan",
@@ -188,11 +191,17 @@ def subscription_months(events: DataFrame) -> DataFrame:
         F.count_if(c("event_name") == STARTED).alias("started"),
         F.count_if(c("event_name") == RENEWED).alias("renewed"),
         F.count_if(c("event_name") == CANCELLED).alias("cancelled"),
-        F.coalesce(F.sum(F.when(paid, c("revenue_usd") / months_paid)), F.lit(0.0)).alias("mrr_usd"),
+        F.coalesce(money_sum(F.when(paid, c("revenue_usd") / months_paid)), F.lit(0.0)).alias("mrr_usd"),
     )
 
-    last = F.max(F.struct("event_timestamp", "event_name")).getField("event_name")
-    states = subs.where("user IS NOT NULL").groupBy("user", "month").agg((last != CANCELLED).alias("active"))
+    # The last event by its time, at equal times by its name, as one number: a hash aggregation holds it.
+    names = sorted((STARTED, RENEWED, CANCELLED))
+    code = F.lit(0)
+    for place, name in enumerate(names):
+        code = F.when(c("event_name") == name, F.lit(place)).otherwise(code)
+    last = F.max(F.unix_micros("time") * 4 + code)
+    active = F.pmod(last, F.lit(4)) != names.index(CANCELLED)
+    states = subs.where("user IS NOT NULL").groupBy("user", "month").agg(active.alias("active"))
     before = F.lag("active").over(Window.partitionBy("user").orderBy("month"))
     changes = states.withColumn("before", before).groupBy("month").agg(
         F.count_if(c("active") & c("before").isNull()).alias("new_subscribers"),

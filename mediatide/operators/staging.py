@@ -39,7 +39,7 @@ def stg_paid_media(cdm: DataFrame) -> DataFrame:
     c = F.col
     cost = F.coalesce(c("cost_usd"), F.lit(0)).cast("double")
     value = F.coalesce(c("conversion_value_usd"), F.lit(0)).cast("double")
-    kept = cdm.where(c("date").isNotNull() & (F.coalesce(c("cost_usd"), F.lit(0.0)) >= 0))
+    kept = cdm.where(c("date").isNotNull() & (c("cost_usd").isNull() | (c("cost_usd") >= 0)))
     return kept.select(
         c("date").cast("date").alias("date"),
         lower_trimmed(c("platform")).alias("platform"),
@@ -116,7 +116,7 @@ def stg_organic(cdm: DataFrame) -> DataFrame:
         F.coalesce(c("likes"), zero) + F.coalesce(c("comments"), zero)
         + F.coalesce(c("shares"), zero) + F.coalesce(c("saves"), zero)
     )
-    kept = cdm.where(c("date").isNotNull() & (F.coalesce(c("reach"), zero) >= 0))
+    kept = cdm.where(c("date").isNotNull() & (c("reach").isNull() | (c("reach") >= 0)))
     return kept.select(
         c("date").cast("date").alias("date"),
         lower_trimmed(c("platform")).alias("platform"),

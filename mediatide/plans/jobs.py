@@ -8,6 +8,8 @@ executor during the load never re-reads the landing.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,8 +103,18 @@ class Job:
             mode,
             CLUSTER.get(table, ()),
             self.dry_run,
+            f"{self.start}_{self.end}" if mode == APPEND else None,
         )
 
+    @contextmanager
+    def cleaning_up(self) -> Iterator[None]:
+        """Discards what has been staged if the job fails; a job that ends well keeps it for its previews."""
+        try:
+            yield
+        except BaseException:
+            self.discard_scratch()
+            raise
+
     def stored(self, table: str, start: dt.date, end: dt.date) -> DataFrame:
         return read_table(
             self.spark, self.path(table), PARTITION_COLUMN[table], start, end, CDM_SCHEMAS[table]
@@ -121,6 +133,11 @@ class Job:
 
 
 def paid_media_job(job: Job) -> JobResult:
+    with job.cleaning_up():
+        return _paid_media(job)
+
+
+def _paid_media(job: Job) -> JobResult:
     """Three ad feeds to `cdm_paid_media_daily`; a failed error check stops the load."""
     table = "cdm_paid_media_daily"
     frames = [
@@ -133,6 +150,7 @@ def paid_media_job(job: Job) -> JobResult:
     try:
         quality.gate(report)
     except quality.QualityError:
+        job.discard_scratch()
         failed = job.result("failed_validation")
         failed.report = report
         return failed
@@ -149,6 +167,11 @@ def paid_media_job(job: Job) -> JobResult:
 
 
 def organic_job(job: Job) -> JobResult:
+    with job.cleaning_up():
+        return _organic(job)
+
+
+def _organic(job: Job) -> JobResult:
     """Three post feeds to `cdm_organic_daily`."""
     table = "cdm_organic_daily"
     frames = [
@@ -168,12 +191,18 @@ def organic_job(job: Job) -> JobResult:
     return result
 
 
-def attribution_job(job: Job, replace_events: bool = True) -> JobResult:
+def attribution_job(job: Job, replace_events: bool = False) -> JobResult:
+    with job.cleaning_up():
+        return _attribution(job, replace_events)
+
+
+def _attribution(job: Job, replace_events: bool) -> JobResult:
     """Installs and events to their tables, then the two summaries of the touched periods.
 
     Summaries are recomputed from the stored installs of whole days and months, so a one-day
-    run does not leave a month's cohort with that day only.  Events are replaced by day like
-    the other tables; `replace_events=False` appends instead.
+    run does not leave a month's cohort with that day only.  Events are added to the event log, which a stream may
+    feed as well; the same date range loaded again replaces itself.  `replace_events=True` keeps a
+    table without loads instead, replaced by day like the others.
     """
     installs = job.staged(attribution.installs(job.feed("installs"), stamp=job.stamp), "cdm_installs")
     events = job.staged(

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mediatide.operators import marts, reports, staging
 from mediatide.operators.datatests import run_tests
-from mediatide.sources.tables import create_table_as, laid_out, read_table, save_table
+from mediatide.schemas import PARTITION_COLUMN
+from mediatide.sources.tables import create_table_as, laid_out, read_table, refresh_table, save_table
 
 
 @dataclass(frozen=True)
@@ -108,6 +110,42 @@ def materialise_models(
     return built
 
 
+def refresh_models(
+    spark: SparkSession,
+    cdm: dict[str, DataFrame],
+    root: str,
+    first: dt.date,
+    last: dt.date,
+    as_of: dt.date | str | None = None,
+    models: dict[str, Model] | None = None,
+) -> dict[str, DataFrame]:
+    """Brings the stored marts up to date after days `first` to `last` of the CDM tables have changed.
+
+    Only those months are read and aggregated again, since every mart is by day or by month, and only their
+    partitions are replaced; the files of all other months stay.  A day that is gone from the CDM needs the full build.
+    """
+    month = first.replace(day=1)
+    end = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+    touched = {}
+    for name, df in cdm.items():
+        day = F.col(PARTITION_COLUMN[name])
+        touched[name] = df.where(day.between(F.lit(month), F.lit(end)))
+
+    def store(name: str, model: Model, df: DataFrame) -> DataFrame:
+        path = f"{root}/{name}"
+        refresh_table(df, path, model.partition, model.cluster)
+        return read_table(spark, path)
+
+    marts_only = {n: m for n, m in (models or MODELS).items() if m.partition or n.startswith("stg_")}
+    stored = {n: df for n, df in build_models(touched, as_of, marts_only, store).items() if marts_only[n].partition}
+    # Staging and reports are over everything, the marts as they are stored now.
+    rest = {n: m for n, m in (models or MODELS).items() if not m.partition}
+    built = {**build_models({**cdm, **stored}, as_of, rest), **stored}
+    for name, df in built.items():
+        df.createOrReplaceTempView(name)
+    return built
+
+
 def catalog_model(df: DataFrame, name: str, path: str, partition: str, cluster: tuple[str, ...] = ()) -> None:
     """Stores a model as a partitioned table of the catalog."""
     create_table_as(laid_out(df, partition, cluster), name, path, partition)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +15,7 @@ from pyspark.sql import types as T
 from mediatide import schemas
 from mediatide.functions.dates import iso_day
 from mediatide.operators.fields import RunStamp
-from mediatide.sources.tables import gathered
+from mediatide.sources.tables import gathered, many_writers
 
 _META = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("source", "extracted_at", "attribution_window")]
@@ -79,41 +82,62 @@ def read_json_rows(
 
 
 def read_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A CSV report with a header; every column is text, found by its header name.
+    """CSV reports with a header; every column is text, found by its header name in each file.
 
-    An empty field is an empty text, not an absent value, so no default stands in for it.
+    Files are read by their own header, so reports may differ in the order of columns and in which they have;
+    a column that a report lacks is empty, like an empty field: an empty text, not an absent value, so no default
+    stands in for it.  A value in quotes may hold line breaks, so one task reads one file, which should hold
+    a page or a day.  A damaged file stops the run.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    return reader.csv(path).na.fill("")
-
-
-def land_rows(rows: DataFrame, path: str, source: str, day: str, stamp: RunStamp | None = None) -> None:
-    """Adds rows to the landing under source and day, replacing those source-days.
-
-    `day` is the feed's own date or time text.
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    ordered = lines.where("start = 0").withColumn("line", F.monotonically_increasing_id())
+    first = ordered.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    frames = []
+    # As many rows as there are different headers; each names the files that have it.
+    for found in first.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect():
+        names = next(csv.reader([found["header"].removeprefix("\ufeff")]))
+        schema = T.StructType([T.StructField(n.strip(), T.StringType()) for n in names])
+        reader = spark.read.schema(schema).options(header=True, quote='"', escape='"', multiLine=True, mode="FAILFAST")
+        frames.append(reader.csv(sorted(found["files"])))
+    if not frames:
+        raise ValueError(f"no report with a header at {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).na.fill("")
+
+
+def land_rows(
+    rows: DataFrame, path: str, source: str, day: str, stamp: RunStamp | None = None, ingest: str | None = None
+) -> None:
+    """Adds rows to the landing under source, delivery and day.
+
+    `ingest` names the delivery (the time of extraction by default): landing it again replaces it whole, and nothing else.
+    So a late delivery adds to a day that has landed before.  `day` is the feed's own date or time text; rows whose day
+    cannot be read are kept under no day.
     """
     stamp = stamp or RunStamp()
     marked = rows.withColumns(
         {
-            "_source": F.lit(source),
             "_day": iso_day(F.col(day).cast("string")),
             "_extracted_at": F.lit(stamp.extracted_at),
             "_pipeline_version": F.lit(stamp.version),
         }
     )
-    (
-        gathered(marked, "_day")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_source", "_day")
-        .parquet(path)
-    )
+    name = quote(ingest or stamp.extracted_at, safe="")
+    writer = gathered(marked, "_day").write.mode("overwrite").partitionBy("_day")
+    with many_writers(rows.sparkSession):
+        writer.parquet(f"{path}/_source={source}/_ingest={name}")
 
 
 def read_landing(
     spark: SparkSession, path: str, source: str, start: dt.date, end: dt.date
 ) -> DataFrame:
-    """Rows of one source from `start` to `end`, both included; other days are not listed."""
-    wanted = (F.col("_source") == source) & F.col("_day").between(F.lit(start), F.lit(end))
-    provenance = ("_source", "_day", "_extracted_at", "_pipeline_version")
-    return spark.read.option("basePath", path).parquet(f"{path}/_source={source}").where(wanted).drop(*provenance)
+    """Rows of one source from `start` to `end`, both included, of all deliveries; other days are not read.
+
+    Rows without a readable day come with every range: they belong to no other, and a check or a load has to
+    refuse and count them.
+    """
+    wanted = F.col("_day").between(F.lit(start), F.lit(end)) | F.col("_day").isNull()
+    provenance = ("_source", "_ingest", "_day", "_extracted_at", "_pipeline_version")
+    rows = spark.read.option("basePath", path).parquet(f"{path}/_source={source}")
+    return rows.withColumn("_day", F.col("_day").cast("date")).where(wanted).drop(*provenance)

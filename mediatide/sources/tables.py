@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,6 +22,7 @@ class LoadResult:
     rows: int
     first_day: dt.date | None
     last_day: dt.date | None
+    rejected: int = 0  # rows without a partition value, kept beside the table
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -37,28 +41,12 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(column(f) for f in schema.fields))
 
 
-# A batch up to this size is spread over a fixed number of tasks, none of which can then
-# hold more than this, whatever the share of its largest day.
-SMALL_BATCH_BYTES = 512 * 1024 * 1024
-SMALL_BATCH_TASKS = 64
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: exact for stored files, too high rather than low for joins."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def gathered(df: DataFrame, partition: str) -> DataFrame:
     """Rows of a partition value brought together, so that each value gets few files.
 
     REBALANCE lets AQE split a day that is far larger than the others over several tasks and
-    merge small ones, where a plain repartition would give one task the whole day.  It also
-    merges a small batch of very many days into a single task that writes file after file;
-    such a batch is spread by value instead.
+    merge small ones, where a plain repartition would give one task the whole day.
     """
-    if estimated_bytes(df) <= SMALL_BATCH_BYTES:
-        tasks = min(SMALL_BATCH_TASKS, df.sparkSession.sparkContext.defaultParallelism)
-        return df.repartition(tasks, partition)
     return df.hint("rebalance", F.col(partition))
 
 
@@ -67,18 +55,61 @@ def laid_out(df: DataFrame, partition: str, cluster: tuple[str, ...] = ()) -> Da
     return gathered(df, partition).sortWithinPartitions(partition, *cluster)
 
 
+@contextmanager
+def many_writers(spark: SparkSession) -> Iterator[None]:
+    """While a table is written, AQE leaves small shuffle partitions apart, up to one for each core.
+
+    A batch of very many small days would otherwise be merged into one task that writes file after file.
+    """
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16KB")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _write(df: DataFrame, path: str, partition: str | None, mode: str) -> None:
     save_mode = "append" if mode == APPEND else "overwrite"
     overwrite = "dynamic" if mode == INCREMENTAL else "static"
     writer = df.write.mode(save_mode).option("partitionOverwriteMode", overwrite)
     if partition:
         writer = writer.partitionBy(partition)
-    writer.parquet(path)
+    with many_writers(df.sparkSession):
+        writer.parquet(path)
+
+
+def _replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts the finished folder `fresh` in the place of `path`."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    new, old = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(path)
+    files = new.getFileSystem(conf)
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{fresh} is complete but could not take the place of {path}")
 
 
 def save_table(df: DataFrame, path: str, partition: str | None = None, cluster: tuple[str, ...] = ()) -> None:
-    """The whole table, replacing what is there."""
-    _write(laid_out(df, partition, cluster) if partition else df, path, partition, TRUNCATE)
+    """The whole table, replacing what is there: written beside it first, so that an error leaves the old one."""
+    fresh = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    _write(laid_out(df, partition, cluster) if partition else df, fresh, partition, TRUNCATE)
+    _replace(df.sparkSession, fresh, path.rstrip("/"))
+
+
+def refresh_table(df: DataFrame, path: str, partition: str, cluster: tuple[str, ...] = ()) -> None:
+    """Replaces the partitions that df has rows for; all others keep their files."""
+    _write(laid_out(df, partition, cluster), path, partition, INCREMENTAL)
+
+
+def append_once(laid: DataFrame, path: str, partition: str, load: str) -> None:
+    """Adds a batch under its own name `load` within each partition value: repeated, it replaces itself.
+
+    Batch jobs and streams can so feed one table; `_load` is a partition column below `partition`.
+    """
+    writer = laid.withColumn("_load", F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    with many_writers(laid.sparkSession):
+        writer.partitionBy(partition, "_load").parquet(path)
 
 
 def save_run_copy(df: DataFrame, path: str, run_date: dt.date) -> None:
@@ -94,28 +125,42 @@ def load_table(
     mode: str = INCREMENTAL,
     cluster: tuple[str, ...] = (),
     dry_run: bool = False,
+    load: str | None = None,
 ) -> LoadResult:
     """Loads a batch and tells rows and date range.
 
     incremental: replaces exactly the partitions present in the batch, so a rerun of the same
     days leaves the same table and an empty batch changes nothing.  truncate: replaces the
-    table.  append: adds.  A dry run evaluates and checks the batch and writes nothing.
+    table.  append: adds; with a name `load` (see append_once) a repeated load replaces itself, and all loads of
+    the table need one.  A dry run evaluates and checks the batch and writes nothing.
+
+    Rows without a partition value belong to no day that a later load could replace.  They are counted as
+    rejected and kept beside the table in `<path>__rejected`, which holds those of the last load that had any.
     """
     if mode not in (INCREMENTAL, TRUNCATE, APPEND):
         raise ValueError(mode)
     table = path.rstrip("/").rsplit("/", 1)[-1]
     checked = enforce_schema(df, schema)
-    figures = [F.count("*").alias("rows"), F.min(partition).alias("first"), F.max(partition).alias("last")]
+    placed = F.col(partition).isNotNull()
+    figures = [F.count_if(placed).alias("rows"), F.min(partition).alias("first"), F.max(partition).alias("last")]
     if dry_run:
         # Hashing every column makes the checks of all of them run without keeping any row.
-        row = checked.agg(*figures, F.max(F.xxhash64(*checked.columns))).first()
-        return LoadResult("dry_run", table, row["rows"], row["first"], row["last"])
+        row = checked.agg(*figures, F.count_if(~placed).alias("rejected"), F.max(F.xxhash64(*checked.columns))).first()
+        return LoadResult("dry_run", table, row["rows"], row["first"], row["last"], row["rejected"])
+    homeless = checked.where(~placed)
+    rejected = homeless.count() if schema[partition].nullable else 0
+    if rejected:
+        homeless.write.mode("overwrite").parquet(f"{path.rstrip('/')}__rejected")
     # Observed behind the shuffle, in the writing stage, where each task counts once.
     seen = Observation(f"load {table}")
-    observed = laid_out(checked, partition, cluster).observe(seen, *figures)
-    _write(observed, path, partition, mode)
+    observed = checked.where(placed) if schema[partition].nullable else checked
+    laid = laid_out(observed, partition, cluster).observe(seen, *figures)
+    if mode == APPEND and load:
+        append_once(laid, path, partition, load)
+    else:
+        _write(laid, path, partition, mode)
     got = seen.get
-    return LoadResult("success", table, got["rows"], got["first"], got["last"])
+    return LoadResult("success", table, got["rows"], got["first"], got["last"], rejected)
 
 
 def read_table(

@@ -1,7 +1,8 @@
 """Event files as they land, appended once each to the event log.
 
-State is one entry per event id of the last day, not the whole log.  The file sink
-keeps its own log of committed files, so a batch repeated after a failure adds nothing.
+State is one entry per event id of the last day, not the whole log.  Every micro-batch is written under its own
+number within each day, so a batch repeated after a failure replaces itself, and batch loads can add to
+the same table.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mediatide.operators.attribution import in_app_events
 from mediatide.operators.fields import RunStamp
+from mediatide.sources.tables import append_once, laid_out
 
 REPEAT_WITHIN = "1 day"
 
@@ -22,36 +24,36 @@ def event_stream(
     path: str,
     schema: T.StructType,
     file_format: str = "parquet",
-    files_per_batch: int = 1000,
+    bytes_per_batch: int = 32 << 30,
     **options: str,
 ) -> DataFrame:
-    """Landed event files, `files_per_batch` at a time.
+    """Landed event files, about `bytes_per_batch` of them at a time.
 
     Repeats of an id meet in one task, and a stream cannot combine them before its shuffle;
-    the bound on a batch is what keeps an id with very many repeats within that task.
+    the bound on the bytes of a batch bounds what an id with very many repeats can bring to that task.
     """
     reader = spark.readStream.schema(schema).format(file_format).options(**options)
-    return reader.option("maxFilesPerTrigger", files_per_batch).load(path)
+    return reader.option("maxBytesPerTrigger", bytes_per_batch).load(path)
 
 
 def cleaned_events(raw: DataFrame, id_column: str, stamp: RunStamp | None = None) -> DataFrame:
     """CDM events, a repeated delivery of an id within REPEAT_WITHIN left out.
 
     The watermark follows the time of arrival, not the event's own time: an event that arrives
-    late, or whose time cannot be read, is kept like any other.
+    late, or whose time cannot be read, is kept like any other.  Events without an id repeat nothing:
+    each gets a key of its own.
     """
-    arrived = raw.withColumn("_arrived", F.current_timestamp())
-    unique = arrived.withWatermark("_arrived", REPEAT_WITHIN).dropDuplicatesWithinWatermark([id_column])
-    return in_app_events(unique, stamp)
+    key = F.coalesce(F.concat(F.lit("id "), F.col(id_column).cast("string")), F.uuid())
+    arrived = raw.withColumn("_arrived", F.current_timestamp()).withColumn("_key", key)
+    unique = arrived.withWatermark("_arrived", REPEAT_WITHIN).dropDuplicatesWithinWatermark(["_key"])
+    return in_app_events(unique.drop("_key"), stamp)
 
 
 def append_events(events: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Appends to the log by event day; `once` stops when all landed files are taken."""
-    writer = (
-        events.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("event_date")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+
+    def add(batch: DataFrame, number: int) -> None:
+        append_once(laid_out(batch, "event_date", ("event_name",)), path, "event_date", f"stream-{number}")
+
+    writer = events.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(add)
     return (writer.trigger(availableNow=True) if once else writer).start()
