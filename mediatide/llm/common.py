@@ -75,7 +75,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternates the two star operations: every node hands its larger neighbours to the smallest one,
     then every node links itself and its smaller neighbours to the smallest.  Minima combine before
     the shuffle, and the joins are on a computed key (~a): both inputs then come straight from an
-    exchange, so that AQE splits a node with most of the edges.  The loop ends when the edges no longer change.
+    exchange, so that AQE splits a node with most of the edges.  The loop ends when every edge leads from a node with
+    no other to a root, which has none: then the edges are the answer.
     """
     key = F.bitwise_not("a").alias("k")
 
@@ -83,13 +84,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return links.groupBy("a").agg(F.min("b").alias("low")).select(key, F.least("a", "low").alias("low"))
 
     links = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
-    now = store(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40))).head()
-        if mark == seen:
-            break
-        seen = mark
+    now = store(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+    settled = False
+    while not settled:
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         handed = both.select("b", "a", key).where("b > a").join(lowest(both), "k")
         large = store(handed.select(F.col("b").alias("a"), F.col("low").alias("b")).distinct(), "edges")
@@ -100,6 +97,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         then = store(small.union(own).distinct(), "edges")
         discard(now, large)
         now = then
+        # As often an end as a start, or the start of two edges: neither is in a forest of stars.
+        ends = now.select("a", F.lit(1).alias("up")).union(now.select(F.col("b").alias("a"), F.lit(0).alias("up")).distinct())
+        counts = ends.groupBy("a").agg(F.count("*").alias("n"), F.sum("up").alias("up"))
+        settled = counts.where("n > 1 AND up > 0").limit(1).count() == 0
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
