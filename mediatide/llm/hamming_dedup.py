@@ -9,7 +9,7 @@ has, for allowed chunk errors e_1..e_16 with sum(e_i + 1) = 26, some chunk i wit
 Documents with the same set of shingles form one class and only classes are compared.  In every key the members
 are first compared with its most central one, which joins groups of near copies without listing their pairs.  Then members of a key
 that are still alone are compared with each other, each pair in the first key that it shares; and every member meets the
-whole components, other than its own, that it shares a key with, in blocks in memory.  A pair of documents goes
+whole components, larger than its own, that it shares a key with, in blocks in memory.  A pair of documents goes
 on when its signatures are within the threshold, and links when 100 * |a & b| >= 80 * |a | b| on the full sets.
 
 Defined results: documents without words have an empty set and link with nothing; rows without doc_id take part
@@ -223,8 +223,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     stars = store(within(stars), "stars")
     links = confirmed(stars, "links")
     labels = store(connected_components(links), "labels")
-    named = members.join(labels.select("node", "component"), "node", "left")
-    named = store(named.select(F.bitwise_not("k").alias("key"), "place", "node", "component"), "named")
+    sizes = labels.groupBy("component").agg(F.count("*").alias("size")).select(F.bitwise_not("component").alias("c"), "size")
+    sized = labels.select("node", "component", F.bitwise_not("component").alias("c")).join(sizes, "c")
+    named = members.join(sized.select("node", "component", "size"), "node", "left")
+    named = store(named.select(F.bitwise_not("k").alias("key"), "place", "node", "component", "size"), "named")
 
     # Members that are still alone, with each other: each pair in the first key that it shares.
     alone = named.where("component IS NULL").select("key", "place", "node")
@@ -237,10 +239,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     pairs = store(a.join(b, near & (first_key("sig_a", "sig_b") == F.col("place"))).select("a", "b"), "lone_pairs")
     lone_links = confirmed(pairs, "lone_links")
 
-    # Every member with the whole components, other than its own, that it shares a key with.
-    parts = named.where("component IS NOT NULL").select("key", F.col("component").alias("other")).distinct()
-    parts = parts.select(F.bitwise_not("key").alias("k"), "other")
-    strange = (F.col("component").isNull()) | (F.col("component") < F.col("other"))
+    # Every member with the whole components, larger than its own, that it shares a key with.
+    parts = named.where("component IS NOT NULL").select("key", F.col("component").alias("other"), F.col("size").alias("others")).distinct()
+    parts = parts.select(F.bitwise_not("key").alias("k"), "other", "others")
+    smaller = (F.col("size") < F.col("others")) | ((F.col("size") == F.col("others")) & (F.col("component") < F.col("other")))
+    strange = F.col("component").isNull() | smaller
     visits = named.withColumn("k", F.bitwise_not("key")).join(parts, "k").where(strange).select("node", "other").distinct()
     visits = store(visits, "visits")
     visit_links = _visited(visits, labels, classes, sets_of, percent)

@@ -98,6 +98,8 @@ class LineRuns:
 def batches_of(docs: DataFrame, batches: int) -> list[float]:
     """Upper bounds of doc_id that cut the table into about equal batches; their place changes no result."""
     at = [i / batches for i in range(1, batches)]
+    if not at:
+        return []
     bounds = docs.select(F.col("doc_id").cast("double").alias("doc_id")).approxQuantile("doc_id", at, 0.02)
     return sorted(set(bounds))
 
