@@ -34,8 +34,8 @@ def test_thresholds_are_ordered_and_grades_are_found():
 
 
 def test_quality_query_over_odd_rows(spark, odd, empty, folder):
-    labels = spark.createDataFrame([(i, i % 2, None if i == 3 else i % 3 == 0) for i in range(16)], "doc_id long, quality int, toxic boolean")
-    labels = labels.withColumn("toxic", F.col("toxic").cast("int")).union(spark.createDataFrame([(None, 1, 1), (1, None, 0), (5, 0, 0)], labels.schema))
+    rated = [(i, i % 2, None if i == 3 else int(i % 3 == 0)) for i in range(16)] + [(None, 1, 1), (1, None, 0), (5, 0, 0)]
+    labels = spark.createDataFrame(rated, "doc_id long, quality int, toxic int")
     path = folder(documents=odd, labels=labels)
     rows = quality_ordinal.op1_quality_ordinal(spark, path).collect()
     assert len(rows) == len(odd_rows())
