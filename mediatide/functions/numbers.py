@@ -74,7 +74,10 @@ def money_sum(amount: Column) -> Column:
     nor a task that runs again changes the last digit.  NaN is no amount and is left out, as NULL is.
     An amount or a total of 1e20 or more, an infinity included, is an error.
     """
-    return F.sum(F.when(~F.isnan(amount), amount).cast("decimal(38,18)")).cast("double")
+    wide = "decimal(38,18)"
+    refused = F.raise_error(F.concat(F.lit("money out of range: "), amount.cast("string"))).cast(wide)
+    value = F.when(F.isnan(amount), F.lit(None).cast(wide)).when(F.abs(amount) >= 1e20, refused).otherwise(amount.cast(wide))
+    return F.sum(value).cast("double")
 
 
 def round_half_up(value: Column, digits: int) -> Column:

@@ -81,7 +81,7 @@ def test_money_total_is_the_same_for_every_order(spark):
     odd = spark.createDataFrame([(4e-7,)] * 1000 + [(float("nan"),), (None,), (1e13,), (-9.2e12,)], "v double")
     assert odd.agg(numbers.money_sum(F.col("v"))).first()[0] == 8e11 + 4e-4
     assert odd.where("v IS NULL").agg(numbers.money_sum(F.col("v"))).first()[0] is None
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST_OVERFLOW|Infinite"):
+    with pytest.raises(Exception, match="money out of range"):
         spark.createDataFrame([(1.0,), (float("inf"),)], "v double").agg(numbers.money_sum(F.col("v"))).collect()
 
 
