@@ -269,13 +269,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, most_chars: i
     scoring has no such bound.  With one class only the result is its share of toxic labels.
     """
     toxic = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    known = docs.where(~split_of(4, 2)).select("doc_id", "text").join(toxic, "doc_id").where(F.col("text").isNotNull() & (F.length("text") <= most_chars))
+    short = docs.where(~split_of(4, 2) & F.col("text").isNotNull() & (F.length("text") <= most_chars)).select("doc_id", "text")
+    # Only ids meet the labels; the sampled ones, bounded in number, go to the texts.
+    known = short.select("doc_id").join(toxic, "doc_id")
     counts = dict(known.groupBy((F.col("_toxic") > 0).alias("t")).count().collect())
     if len(counts) < 2:
         return float(bool(counts.get(True)))
     chance = (F.xxhash64("doc_id", F.lit(3)) % F.lit(1 << 30)).cast("double") / float(1 << 31) + 0.5
     wanted = F.when(F.col("_toxic") > 0, chance < per_class / counts[True]).otherwise(chance < per_class / counts[False])
-    sample = known.where(wanted).select("doc_id", "text", "_toxic").limit(4 * per_class)
+    picked = known.where(wanted).distinct().limit(4 * per_class)
+    sample = short.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "_toxic").limit(4 * per_class)
     rows = sorted(map(tuple, sample.collect()))
     labelled = np.array([r[2] > 0 for r in rows])
     if labelled.all() or not labelled.any():
