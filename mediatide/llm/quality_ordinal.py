@@ -134,7 +134,9 @@ def fit(docs: DataFrame, ratings: DataFrame, per_grade: int = 2000) -> Ordinal |
     Only the features of the sampled texts come to the driver.  ratings: doc_id, grade (0, 1, ..).
     """
     prepare(docs.sparkSession)
-    known = docs.where(~split_of(4, 2)).select("doc_id", "text").join(ratings, "doc_id")
+    texts = docs.where(~split_of(4, 2)).select("doc_id", "text")
+    # Only ids meet the ratings; the sampled ones, bounded in number, go to the texts.
+    known = texts.select("doc_id").join(ratings, "doc_id")
     counts = {r["grade"]: r["count"] for r in known.groupBy("grade").count().collect()}
     if len(counts) < 2:
         return next(iter(counts), None)
@@ -142,7 +144,8 @@ def fit(docs: DataFrame, ratings: DataFrame, per_grade: int = 2000) -> Ordinal |
     wanted = F.lit(False)
     for grade, n in counts.items():
         wanted = wanted | ((F.col("grade") == grade) & (chance < per_grade / n))
-    sample = known.where(wanted).limit(2 * per_grade * len(counts))
+    most = 2 * per_grade * len(counts)
+    sample = texts.join(F.broadcast(known.where(wanted).distinct().limit(most)), "doc_id").limit(most)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = _Cells()
