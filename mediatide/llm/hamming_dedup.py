@@ -11,6 +11,7 @@ are first compared with its most central one, which joins groups of near copies
 that are still alone are compared with each other, each pair in the first key that it shares; and every member meets the
 whole components, larger than its own, that it shares a key with, in blocks in memory.  A pair of documents goes
 on when its signatures are within the threshold, and links when 100 * |a & b| >= 80 * |a | b| on the full sets.
+The query and the pipeline's stage both use shingles of two words.
 
 Defined results: documents without words have an empty set and link with nothing; rows without doc_id take part
 and give no id to a component (component_id is null if no member has one); rows that repeat a doc_id
@@ -60,8 +61,8 @@ SHINGLES_AT_ONCE = 500_000
 ROWS_PER_BUNDLE = 1_000
 
 
-def shingles(text: str | None, words: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the two-word shingles."""
+def shingles(text: str | None, words: WordHashes, length: int = 2) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of `length` words; fewer words are one shingle."""
     if not text:
         return np.empty(0, np.uint64)
     # bytes.lower folds A-Z only, and bytes.split splits at exactly the six blanks.
@@ -69,10 +70,12 @@ def shingles(text: str | None, words: WordHashes) -> np.ndarray:
     if not found:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-    if len(h) == 1:
-        h = h * _MIX2 + np.uint64(1)
-    else:
-        h = (h[:-1] * _MIX) ^ (h[1:] + (h[:-1] >> np.uint64(29)))
+    n = len(h)
+    own = min(length, n)
+    mixed = h[: n - own + 1]
+    for j in range(1, own):
+        mixed = (mixed * _MIX) ^ (h[j : n - own + 1 + j] + (mixed >> np.uint64(29)))
+    h = mixed if own == length else mixed * _MIX2 + np.uint64(n)
     h ^= h >> np.uint64(32)
     h *= _MIX2
     h ^= h >> np.uint64(29)
@@ -89,40 +92,48 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (symbols.reshape(CHUNKS, PER_CHUNK) << (LANE * np.arange(PER_CHUNK))).sum(axis=1)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
-    for batch in batches:
-        if len(words) > MAX_WORDS_KEPT:
-            words.clear()
-        sizes, marks, signatures = [], [], []
-        for text in batch.column("text").to_pylist():
-            found = shingles(text, words)
-            sizes.append(len(found))
-            mark = xxhash.xxh3_128_intdigest(found.tobytes())
-            marks.append(mark)
-            signatures.append(signature(found))
-        half = (1 << 64) - 1
-        f1 = np.array([m & half for m in marks], np.uint64).view(np.int64)
-        f2 = np.array([m >> 64 for m in marks], np.uint64).view(np.int64)
-        flat = np.concatenate(signatures) if signatures else np.empty(0, np.int64)
-        lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, CHUNKS, dtype=np.int32), pa.array(flat))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("tid"), pa.array(sizes, pa.int64()), pa.array(f1), pa.array(f2), lists],
-            ["doc_id", "tid", "n_shingles", "f1", "f2", "sig"],
-        )
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
-    for batch in batches:
-        if len(words) > MAX_WORDS_KEPT:
-            words.clear()
-        sets = [shingles(text, words).view(np.int64) for text in batch.column("text").to_pylist()]
-        offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-        flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["node", "hashes"]
-        )
+def _features(length: int):
+    """Sizes, marks and signatures of texts, from shingles of `length` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            if len(words) > MAX_WORDS_KEPT:
+                words.clear()
+            sizes, marks, signatures = [], [], []
+            for text in batch.column("text").to_pylist():
+                found = shingles(text, words, length)
+                sizes.append(len(found))
+                mark = xxhash.xxh3_128_intdigest(found.tobytes())
+                marks.append(mark)
+                signatures.append(signature(found))
+            half = (1 << 64) - 1
+            f1 = np.array([m & half for m in marks], np.uint64).view(np.int64)
+            f2 = np.array([m >> 64 for m in marks], np.uint64).view(np.int64)
+            flat = np.concatenate(signatures) if signatures else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, CHUNKS, dtype=np.int32), pa.array(flat))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("tid"), pa.array(sizes, pa.int64()), pa.array(f1), pa.array(f2), lists],
+                ["doc_id", "tid", "n_shingles", "f1", "f2", "sig"],
+            )
+
+    return run
+
+
+def _sets(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            if len(words) > MAX_WORDS_KEPT:
+                words.clear()
+            sets = [shingles(text, words, length).view(np.int64) for text in batch.column("text").to_pylist()]
+            offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["node", "hashes"]
+            )
+
+    return run
 
 
 def keys_of(sig: str) -> Column:
@@ -170,12 +181,15 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.alias("text"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, tid, n_shingles, component_id, kept, first (one row of each component) for every row of docs."""
+def near_duplicates(docs: DataFrame, percent: int = 80, length: int = 2) -> DataFrame:
+    """doc_id, tid, n_shingles, component_id, kept, first (one row of each component) for every row of docs.
+
+    Shingles are of `length` words.
+    """
     prepare(docs.sparkSession)
     texts = identified(docs)
     shape = "doc_id long, tid long, n_shingles long, f1 long, f2 long, sig array<long>"
-    rows = store(texts.mapInArrow(_features, shape).withColumn("rid", F.monotonically_increasing_id()), "signatures")
+    rows = store(texts.mapInArrow(_features(length), shape).withColumn("rid", F.monotonically_increasing_id()), "signatures")
     full = rows.where("n_shingles > 0")
     grouped = full.groupBy("f1", "f2").agg(F.min("rid").alias("node"))
     lead = full.select("rid", "doc_id", "tid", "n_shingles", "sig")
@@ -205,7 +219,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         ids = classes.join(nodes, "node").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tid", "node")
         # One row of each class's own document: rows that repeat its id and text hold the same set.
         chosen = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tid", "text").join(ids, ["did", "tid"])
-        sets = chosen.select("node", "text").mapInArrow(_sets, "node long, hashes array<long>")
+        sets = chosen.select("node", "text").mapInArrow(_sets(length), "node long, hashes array<long>")
         return store(sets.dropDuplicates(["node"]), "shingle_sets")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:

@@ -90,6 +90,33 @@ def test_group_of_near_copies_is_one_component_without_its_base(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in hamming_dedup.near_duplicates(df).collect()} == wanted
 
 
+def test_near_documents_of_longer_shingles_agree_with_all_pairs(spark, monkeypatch):
+    """Changes a few words apart break few shingles of two words and many of five."""
+    rng = random.Random(4)
+    rows = []
+    for n in range(8):
+        words = [f"w{n}_{i}" for i in range(200)]
+        rows.append((10 * n, " ".join(words)))
+        for copy, changes in enumerate((1, 4, 8, 12), 1):
+            changed = list(words)
+            for at in rng.sample(range(200), changes):
+                changed[at] = f"v{rng.random()}"
+            rows.append((10 * n + copy, " ".join(changed)))
+    rows += [(900, None), (901, "one"), (902, "ONE"), (903, "a b c d"), (904, "A b c d"), (905, "a b c"), (906, "a b c d e")]
+
+    def five(text):
+        w = brute.words(brute.ascii_lower(text or ""))
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1))))
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    two_words = brute.near_documents(rows)
+    monkeypatch.setattr(brute, "shingle_set", five)
+    wanted = brute.near_documents(rows)
+    assert sum(kept for _, _, kept in wanted.values()) > sum(kept for _, _, kept in two_words.values())
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in hamming_dedup.near_duplicates(df, length=5).collect()}
+    assert got == wanted
+
+
 def test_documents_with_odd_values(spark, odd, empty):
     out = hamming_dedup.near_duplicates(odd).collect()
     assert len(out) == len(odd_rows())
