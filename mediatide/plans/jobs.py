@@ -103,7 +103,7 @@ class Job:
             mode,
             CLUSTER.get(table, ()),
             self.dry_run,
-            f"{self.start}_{self.end}" if mode == APPEND else None,
+            f"{self.start}_{self.end}",
         )
 
     @contextmanager

@@ -117,6 +117,41 @@ def save_run_copy(df: DataFrame, path: str, run_date: dt.date) -> None:
     _write(df.withColumn("run_date", F.lit(run_date)), path, "run_date", INCREMENTAL)
 
 
+def rejected_name(first: object, last: object, digest: object, mode: str, load: str | None) -> str:
+    """The load's name; else the range that an incremental load replaces, or the hash of a batch with no range.
+
+    A batch appended without a name is added each time in the table, and so are its rejected rows.
+    """
+    if load:
+        return load
+    if mode == APPEND:
+        return uuid.uuid4().hex
+    return f"{first}_{last}" if first is not None else f"none_{digest}"
+
+
+def keep_rejected(checked: DataFrame, path: str, partition: str, mode: str, load: str | None) -> int:
+    """Stores the rows without a partition value under the load's own name, in place of those it had there before."""
+    homeless = checked.where(F.col(partition).isNull())
+    row = checked.agg(
+        F.count_if(F.col(partition).isNull()).alias("rejected"), F.min(partition).alias("first"), F.max(partition).alias("last"),
+    ).first()
+    digest = None
+    if row["rejected"] and row["first"] is None and not load:
+        digest = homeless.agg(F.sum(F.xxhash64(*checked.columns).cast("decimal(38,0)"))).first()[0]
+    name = rejected_name(row["first"], row["last"], digest, mode, load)
+    spark = checked.sparkSession
+    if row["rejected"]:
+        overwrite = "static" if mode == TRUNCATE else "dynamic"
+        writer = homeless.withColumn("_load", F.lit(name)).write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+        writer.partitionBy("_load").parquet(path)
+    else:
+        # What the load had rejected before is in the table now.
+        own = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+        old = spark._jvm.org.apache.hadoop.fs.Path(path if mode == TRUNCATE else f"{path}/_load={own}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return row["rejected"]
+
+
 def load_table(
     df: DataFrame,
     path: str,
@@ -135,7 +170,8 @@ def load_table(
     the table need one.  A dry run evaluates and checks the batch and writes nothing.
 
     Rows without a partition value belong to no day that a later load could replace.  They are counted as
-    rejected and kept beside the table in `<path>__rejected`, which holds those of the last load that had any.
+    rejected and kept beside the table in `<path>__rejected`, under the load's own name in `_load` (see
+    rejected_name): a repeated load replaces only its own, and truncate those of all loads, as it does in the table.
     """
     if mode not in (INCREMENTAL, TRUNCATE, APPEND):
         raise ValueError(mode)
@@ -147,10 +183,7 @@ def load_table(
         # Hashing every column makes the checks of all of them run without keeping any row.
         row = checked.agg(*figures, F.count_if(~placed).alias("rejected"), F.max(F.xxhash64(*checked.columns))).first()
         return LoadResult("dry_run", table, row["rows"], row["first"], row["last"], row["rejected"])
-    homeless = checked.where(~placed)
-    rejected = homeless.count() if schema[partition].nullable else 0
-    if rejected:
-        homeless.write.mode("overwrite").parquet(f"{path.rstrip('/')}__rejected")
+    rejected = keep_rejected(checked, path.rstrip("/") + "__rejected", partition, mode, load) if schema[partition].nullable else 0
     # Observed behind the shuffle, in the writing stage, where each task counts once.
     seen = Observation(f"load {table}")
     observed = checked.where(placed) if schema[partition].nullable else checked

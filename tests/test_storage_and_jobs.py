@@ -54,6 +54,33 @@ def test_null_in_a_required_column_fails_and_keeps_the_table(spark, tmp_path):
     assert stored(spark, path) == [(DAY(2025, 1, 1), "a", 1)]
 
 
+def test_loads_keep_their_own_rejected_rows(spark, tmp_path):
+    """A later load with other rejected rows leaves those of an earlier one; repeated, it replaces its own."""
+    loose = schemas._struct("date date, k string, v bigint")
+    jan, feb = DAY(2025, 1, 1), DAY(2025, 2, 1)
+    january = [("a", jan, 1), *[(f"j{i}", None, i) for i in range(5)]]
+    february = [("b", feb, 1), *[(f"f{i}", None, i) for i in range(3)]]
+
+    def rejected(path):
+        return sorted(r["k"] for r in spark.read.parquet(path + "__rejected").collect())
+
+    both = [f"f{i}" for i in range(3)] + [f"j{i}" for i in range(5)]
+    for mode in (tables.INCREMENTAL, tables.APPEND):
+        path = str(tmp_path / mode)
+        for data, name in ((january, "x/1"), (february, "x/2"), (february, "x/2")):
+            got = tables.load_table(batch(spark, data), path, loose, mode=mode, load=name if mode == tables.APPEND else None)
+            assert got.rejected == len(data) - 1
+        assert rejected(path) == both
+    tables.load_table(batch(spark, february[:1]), path, loose, mode=tables.APPEND, load="x/2")
+    assert rejected(path) == both[3:]
+    path = str(tmp_path / "days")
+    for data in (january[1:], february[1:], february[1:]):
+        tables.load_table(batch(spark, data), path, loose)
+    assert rejected(path) == both
+    tables.load_table(batch(spark, january), path, loose, mode=tables.TRUNCATE)
+    assert rejected(path) == both[3:]
+
+
 def test_dry_run_writes_nothing(spark, tmp_path):
     path = tmp_path / "t"
     got = tables.load_table(batch(spark, [("a", DAY(2025, 1, 1), 1)]), str(path), SCHEMA, dry_run=True)
