@@ -2,8 +2,9 @@
 
 A text's UTF-8 bytes are cut into windows; in each window one network runs forward and one backward, every byte gets a
 probability for each language from both states, and a document's probabilities are the mean over all its bytes.
-The network is trained in numpy by backpropagation through time on windows of a bounded sample of the labelled rows
-(`sample_per_language` documents of each language at most, in expectation); it then scores every whole text on the executors.
+The network is trained in numpy by backpropagation through time on windows of a sample of the labelled rows, bounded for each
+language (`sample_per_language` documents of it, in expectation) and never in the number of languages: every lang value is learned.
+The windows are cut on the executors; the network then scores every whole text there.
 
 Defined results: a text that is null, empty or without any letter is `und` with score 0; if no language can be learned, so is
 every text.  Rows that repeat, or have no doc_id, are scored like any other (a null id belongs to the training part).  The
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ WINDOW = 128
 #: Stands where a window has no byte: it leaves the state as it is.
 PAD = 256
 GATES = ("z", "r", "n")
+#: Bytes of a training window, windows of a training step, and the least numbers of steps and of windows of each language.
+TRAINED_WIDTH, BATCH, STEPS, WINDOWS_EACH = 48, 192, 500, 1_500
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -164,15 +168,24 @@ def _back_through_time(layer: Direction, x: np.ndarray, d_out: np.ndarray) -> tu
     return states, grads
 
 
+def steps_for(languages: int) -> int:
+    """Training steps: more than STEPS where the languages would get fewer than WINDOWS_EACH windows otherwise."""
+    return max(STEPS, -(-WINDOWS_EACH * languages // BATCH))
+
+
 def train(
-    texts: list[str], languages: list[str], hidden: int = 8, steps: int = 500, batch: int = 192, width: int = 48, rate: float = 0.03, seed: int = 7
-) -> Network:
+    texts: list[str | bytes], languages: list[str], hidden: int = 8, steps: int | None = None, batch: int = BATCH, width: int = TRAINED_WIDTH,
+    rate: float = 0.03, seed: int = 7,
+) -> Network:
     """Every byte of a window is a training position with the language of its document."""
     names = sorted(set(languages))
+    steps = steps_for(len(names)) if steps is None else steps
     rng = np.random.default_rng(seed)
-    data = [t.encode("utf-8") for t in texts]
-    label = np.array([names.index(x) for x in languages])
-    of = [np.flatnonzero(label == k) for k in range(len(names))]
+    data = [t.encode("utf-8") if isinstance(t, str) else t for t in texts]
+    number = {x: k for k, x in enumerate(names)}
+    label = np.array([number[x] for x in languages])
+    order = np.argsort(label, kind="stable")
+    of = np.split(order, np.cumsum(np.bincount(label, minlength=len(names)))[:-1])
     net = Network(names, Direction.random(hidden, rng), Direction.random(hidden, rng), rng.normal(0, 0.1, (2 * hidden + 1, len(names))).astype("f4"))
     layers = {"f": net.forward, "b": net.backward}
     params = {f"{d}{p}{g}": (layer.inputs if p == "i" else layer.states)[g] for d, layer in layers.items() for p in "is" for g in GATES}
@@ -252,22 +265,47 @@ def scorer(net: Network, width: int = WINDOW, at_once: int = 2048):
     return score
 
 
-def fit(docs: DataFrame, sample_per_language: int = 400, max_languages: int = 64) -> Network | None:
-    """Trains on a hashed sample of about `sample_per_language` labelled texts with letters of each language.
+def _cut(per_text: dict[str, int], width: int):
+    """Windows of `width` bytes of each text, as many as `per_text` has for its language; they start anywhere in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            windows = []
+            for seed, lang, text in zip(*(batch.column(c).to_pylist() for c in ("seed", "lang", "text")), strict=True):
+                data = text.encode("utf-8")
+                rng = np.random.default_rng(seed & ((1 << 64) - 1))
+                begins = rng.integers(0, max(1, len(data) - width + 1), per_text[lang])
+                windows.append([data[i : i + width] for i in begins])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("seed"), batch.column("lang"), pa.array(windows, pa.list_(pa.binary()))], ["seed", "lang", "windows"]
+            )
+
+    return run
 
-    The sample is at most twice that in number, from the `max_languages` most frequent languages.
+
+def fit(docs: DataFrame, sample_per_language: int = 400) -> Network | None:
+    """Trains on a hashed sample of about `sample_per_language` labelled texts with letters of every language.
+
+    Only as many windows of them as the training steps draw come to the driver, shared evenly by the texts of a language.
     """
+    prepare(docs.sparkSession)
     labelled = docs.where(~split_of(4, 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    frequent = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    if not frequent:
+    # Rows that repeat an id, language and text are one row of the sample: they have the same hash.
+    seed = F.xxhash64("doc_id", "text")
+    place = (seed % F.lit(1 << 30)).cast("double") / float(1 << 31) + 0.5
+    counted = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()
+    sizes = {r["lang"]: r["n"] for r in counted}
+    if not sizes:
         return None
-    place = (F.xxhash64("doc_id", "text") % F.lit(1 << 30)).cast("double") / float(1 << 31) + 0.5
-    wanted = F.lit(False)
-    for row in frequent:
-        wanted = wanted | ((F.col("lang") == row["lang"]) & (place < min(1.0, sample_per_language / row["n"])))
-    sample = labelled.where(wanted).select("doc_id", "lang", "text").limit(2 * sample_per_language * len(frequent))
-    rows = sorted((tuple(r) for r in sample.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
-    return train([r[2] for r in rows], [r[1] for r in rows])
+    draws = -(-steps_for(len(sizes)) * BATCH // len(sizes))
+    per_text = {lang: -(-draws // min(n, sample_per_language)) for lang, n in sizes.items()}
+    # A language of few distinct rows may have none below its share: its smallest place counts too.
+    bounds = {r["lang"]: max(min(1.0, sample_per_language / r["n"]), np.nextafter(r["least"], 2)) for r in counted}
+    bound = F.create_map(*(F.lit(x) for lang, p in bounds.items() for x in (lang, float(p))))
+    sample = labelled.where(place < F.element_at(bound, F.col("lang"))).select(seed.alias("seed"), "lang", "text")
+    cut = sample.mapInArrow(_cut(per_text, TRAINED_WIDTH), "seed long, lang string, windows array<binary>")
+    rows = sorted((r["lang"], r["seed"], [bytes(w) for w in r["windows"]]) for r in cut.dropDuplicates(["seed", "lang"]).collect())
+    return train([w for r in rows for w in r[2]], [r[0] for r in rows for _ in r[2]])
 
 
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:

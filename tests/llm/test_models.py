@@ -142,6 +142,21 @@ def test_languages_are_found(spark, small, folder):
     assert np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in held]) > 0.9
 
 
+def test_every_language_is_learned_from_windows(spark, monkeypatch):
+    """More languages than 64, some of a single row; what comes to the driver are windows and no whole texts."""
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda texts, langs: seen.append((texts, langs)))
+    rows = [(40 * k + i, f"w{k} " * 2_000, f"l{k:02}") for k in range(70) for i in range(4 if k < 60 else 1)]
+    rows = [r for r in rows if brute.remainder(r[0], 4) != 2] + [(9_999, "no language", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language_id.fit(df.repartition(5), sample_per_language=2)
+    texts, langs = seen[0]
+    assert set(langs) == {r[2] for r in rows[:-1]} and len(set(langs)) > 64
+    assert max(map(len, texts)) <= language_id.TRAINED_WIDTH
+    assert min(langs.count(x) for x in set(langs)) >= language_id.WINDOWS_EACH // 2
+    assert language_id.steps_for(4) == 500 and language_id.steps_for(640) * language_id.BATCH >= 640 * language_id.WINDOWS_EACH
+
+
 def test_language_of_odd_rows(spark, odd, empty, folder, monkeypatch):
     monkeypatch.setattr(language_id, "train", lambda texts, langs: _plain_train(texts, langs, steps=20))
     rows = {r["doc_id"]: r for r in language_id.op10_language_id(spark, folder(documents=odd)).collect()}
