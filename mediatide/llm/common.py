@@ -7,6 +7,7 @@ costs a reread and never a recomputation of the chain before it.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -69,6 +70,40 @@ def split_of(divisor: int, held: int) -> Column:
     return remainder(F.col("doc_id").cast("string"), divisor) == held
 
 
+class RecentCache(dict):
+    """Values computed once for each key and kept while they are used, in about `most` bytes.
+
+    When the newer half is full it becomes the older, and what nobody has asked for since then goes.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.held, self.older = most, 0, {}
+
+    def compute(self, keys: list) -> Iterable:
+        """The values of keys that are not kept, in their order."""
+        raise NotImplementedError
+
+    def weight(self, key, value) -> int:
+        """About how many bytes an entry takes."""
+        raise NotImplementedError
+
+    def learn(self, groups: Iterable[Iterable]) -> None:
+        """Afterwards all keys of the groups are there, until forget() is called."""
+        wanted = [key for key in set().union(*groups) if key not in self]
+        known = [(key, self.older[key]) for key in wanted if key in self.older]
+        new = [key for key in wanted if key not in self.older]
+        for key, value in chain(known, zip(new, self.compute(new) if new else (), strict=True)):
+            self[key] = value
+            self.held += self.weight(key, value)
+
+    def forget(self) -> None:
+        if self.held > self.most // 2:
+            self.older = dict(self)
+            self.clear()
+            self.held = 0
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Columns node, component (the smallest node reachable) for every node of the edges (a, b).
 

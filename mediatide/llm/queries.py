@@ -12,6 +12,7 @@ from mediatide.llm import (
     line_frequency,
     quality_ordinal,
     source_mixing,
+    token_alignment,
     toxicity,
 )
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_minhash_dedup": hamming_dedup.op9_minhash_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
 }
 
 SQL = {
