@@ -10,6 +10,7 @@ from mediatide.llm import (
     lattice_dedup,
     line_dedup,
     line_frequency,
+    phrase_mining,
     quality_ordinal,
     source_mixing,
     token_alignment,
@@ -28,9 +29,11 @@ QUERIES = {
     "op9_minhash_dedup": hamming_dedup.op9_minhash_dedup,
     "op10_language_id": language_id.op10_language_id,
     "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_phrase_mining": phrase_mining.op13_phrase_mining,
 }
 
 SQL = {
     "op2_line_dedup": line_dedup.SQL,
     "op6_line_frequency": line_frequency.SQL,
+    "op13_phrase_mining": phrase_mining.SQL,
 }
