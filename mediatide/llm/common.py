@@ -7,7 +7,6 @@ costs a reread and never a recomputation of the chain before it.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -84,18 +83,20 @@ class RecentCache(dict):
         """The values of keys that are not kept, in their order."""
         raise NotImplementedError
 
-    def weight(self, key, value) -> int:
-        """About how many bytes an entry takes."""
+    def weight(self, keys: list) -> int:
+        """About how many bytes the entries of these keys take."""
         raise NotImplementedError
 
     def learn(self, groups: Iterable[Iterable]) -> None:
         """Afterwards all keys of the groups are there, until forget() is called."""
         wanted = [key for key in set().union(*groups) if key not in self]
-        known = [(key, self.older[key]) for key in wanted if key in self.older]
-        new = [key for key in wanted if key not in self.older]
-        for key, value in chain(known, zip(new, self.compute(new) if new else (), strict=True)):
-            self[key] = value
-            self.held += self.weight(key, value)
+        self.held += self.weight(wanted)
+        older = self.older
+        new = [key for key in wanted if key not in older]
+        if len(new) < len(wanted):
+            self.update((key, older[key]) for key in wanted if key in older)
+        if new:
+            self.update(zip(new, self.compute(new), strict=True))
 
     def forget(self) -> None:
         if self.held > self.most // 2:

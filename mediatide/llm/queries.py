@@ -6,6 +6,7 @@ from mediatide.llm import (
     bin_packing,
     context_mixing,
     hamming_dedup,
+    host_paths,
     language_id,
     lattice_dedup,
     line_dedup,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_minhash_dedup": hamming_dedup.op9_minhash_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_host_paths": host_paths.op11_host_paths,
     "op12_token_alignment": token_alignment.op12_token_alignment,
     "op13_phrase_mining": phrase_mining.op13_phrase_mining,
 }

@@ -86,13 +86,12 @@ def test_against_whole_texts(spark, odd, small, most):
 def test_small_caches_and_parts(spark, small, monkeypatch):
     texts = [r["text"] for r in small.limit(40).collect()] + TRICKY
     v = token_alignment.vocabularies(A, B)
-    longs = token_alignment._bytes_of("int64")
-    large = token_alignment.Segments(v, lambda a, o: (longs(a), longs(o)))
+    large = token_alignment.Segments(v)
     monkeypatch.setattr(token_alignment, "WORD_BYTES", 20_000)
     monkeypatch.setattr(token_alignment, "CHARS_AT_ONCE", 500)
-    tight = token_alignment.Segments(v, lambda a, o: (longs(a), longs(o)))
-    assert list(tight.of(texts)) == list(large.of(texts))
-    assert tight.held <= 20_000 and len(tight.older) < len(large)
+    tight = token_alignment.Segments(v)
+    assert [repr(x) for x in tight.of(texts)] == [repr(x) for x in large.of(texts)]
+    assert tight.held <= 10_000 and len(tight.older) < len(large)
 
 
 def test_extra_columns_and_empty_table(spark, odd, empty):
