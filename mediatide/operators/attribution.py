@@ -117,7 +117,10 @@ def installs_old(raw: DataFrame) -> DataFrame:
 
 
 def in_app_events(raw: DataFrame, stamp: RunStamp | None = None) -> DataFrame:
-    """Event report to `cdm_funnel_events`; the JSON text is parsed once per row and also kept."""
+    """Event report to `cdm_funnel_events`; the JSON text is parsed once per row and also kept.
+
+    A column `_event_id`, by which the event log tells repeated events, is passed on.
+    """
     f = Feed(raw)
     payload = f.text("event_value", default="{}")
     parsed = raw.select("*", json_fields(payload, _EVENT_FIELDS).alias("_event"))
@@ -146,6 +149,7 @@ def in_app_events(raw: DataFrame, stamp: RunStamp | None = None) -> DataFrame:
         channel_of(source).alias("channel"),
         F.lit(REPORT_SOURCE).alias("raw_source"),
         *(stamp or RunStamp()).columns(),
+        *(["_event_id"] if "_event_id" in raw.columns else []),
     )
 
 

@@ -8,18 +8,27 @@ executor during the load never re-reads the landing.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mediatide.operators import attribution, organic, paid, profile, quality
 from mediatide.operators.fields import RunStamp
 from mediatide.schemas import CDM_SCHEMAS, PARTITION_COLUMN
 from mediatide.session import scratch_path
-from mediatide.sources.landing import read_landing
+from mediatide.sources.files import Folder, partition_value
+from mediatide.sources.landing import Delivered, delivered, read_landing, unreadable_rows
+from mediatide.sources.rejected import keyed, replace_rejected
 from mediatide.sources.tables import APPEND, LoadResult, load_table, read_table
+from mediatide.streaming.events import merged
+
+#: What the landing's rows without a readable day are kept in, and the name of what the attribution job adds to the event log.
+UNREADABLE, LANDED = "landed__rejected", "landed"
 
 # The default backfill range.
 BACKFILL = (dt.date(2024, 10, 1), dt.date(2025, 3, 31))
@@ -82,6 +91,51 @@ class Job:
     def feed(self, source: str) -> DataFrame:
         return read_landing(self.spark, self.landing, source, self.start, self.end)
 
+    def unreadable(self, source: str) -> DataFrame | None:
+        """Rows of the run's deliveries whose day cannot be read, None if there are none.
+
+        A delivery takes part if it has a day of the run's range; one that has no readable day at all takes part in the first run
+        that meets it.  What older deliveries have left behind concerns no later run.
+        """
+        names = self._faulty(source, delivered(self.spark, self.landing, source, self.start, self.end))
+        return unreadable_rows(self.spark, self.landing, source, names) if names else None
+
+    def _held(self, source: str) -> set[str]:
+        """Deliveries of a source that have rejected rows on record."""
+        names = (partition_value(p) for p in Folder(self.spark, self.path(UNREADABLE)).partitions(1))
+        return {n.split(" ", 1)[1] for n in names if n and n.split(" ", 1)[0] == source}
+
+    def _faulty(self, source: str, found: Delivered) -> set[str]:
+        return set(found.unreadable & found.in_range) | (set(found.dayless) - self._held(source))
+
+    def record_unreadable(self, *sources: str) -> int:
+        """Keeps the unreadable rows of the run's deliveries, each once; how many there are.
+
+        A delivery that has been landed again replaces what it had on record, also if it has no such rows any more.
+        """
+        total, frames, names = 0, [], []
+        for source in sources:
+            found = delivered(self.spark, self.landing, source, self.start, self.end)
+            faulty = self._faulty(source, found)
+            names += [f"{source} {n}" for n in faulty | (set(found.in_range) & self._held(source))]
+            if faulty:
+                rows = unreadable_rows(self.spark, self.landing, source, faulty)
+                content = [c for c in rows.columns if c != "_ingest"]
+                text = F.to_json(F.struct(*content), {"ignoreNullFields": "false"})
+                frames.append(rows.select(F.lit(source).alias("source"), "_ingest", text.alias("row")))
+                total += rows.count()
+        if names and not self.dry_run:
+            empty = self.spark.createDataFrame([], "source string, _ingest string, row string")
+            rows = reduce(DataFrame.unionByName, frames, empty)
+            named = keyed(rows, F.concat_ws(" ", "source", "_ingest")).drop("_ingest")
+            replace_rejected(named, self.path(UNREADABLE), names)
+        return total
+
+    def mapped(self, mapping: Callable[..., DataFrame], source: str) -> tuple[DataFrame, DataFrame | None]:
+        """A feed's rows in the CDM, and those of its rows that have no readable day."""
+        odd = self.unreadable(source)
+        return mapping(self.feed(source), stamp=self.stamp), odd if odd is None else mapping(odd.drop("_ingest"), stamp=self.stamp)
+
     def path(self, table: str) -> str:
         return f"{self.warehouse}/{table}"
 
@@ -94,17 +148,26 @@ class Job:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def load(self, df: DataFrame, table: str, mode: str = "incremental") -> LoadResult:
-        return load_table(
+    def load(self, df: DataFrame, table: str, mode: str = "incremental", rejected: int = 0) -> LoadResult:
+        """Loads a batch; what is added to a log is known as the landing's and replaces the landing's earlier rows of the run's days.
+
+        `rejected` rows were recorded before and are counted with those that the load itself cannot place.
+        """
+        named = {"load": LANDED, "covers": (self.start, self.end)} if mode == APPEND else {}
+        schema = CDM_SCHEMAS[table]
+        if "_event_id" in df.columns:
+            schema = T.StructType([*schema.fields, T.StructField("_event_id", T.StringType())])
+        got = load_table(
             df,
             self.path(table),
-            CDM_SCHEMAS[table],
+            schema,
             PARTITION_COLUMN[table],
             mode,
             CLUSTER.get(table, ()),
             self.dry_run,
-            f"{self.start}_{self.end}",
+            **named,
         )
+        return replace(got, rejected=got.rejected + rejected)
 
     @contextmanager
     def cleaning_up(self) -> Iterator[None]:
@@ -138,15 +201,21 @@ def paid_media_job(job: Job) -> JobResult:
 
 
 def _paid_media(job: Job) -> JobResult:
-    """Three ad feeds to `cdm_paid_media_daily`; a failed error check stops the load."""
+    """Three ad feeds to `cdm_paid_media_daily`; a failed error check stops the load.
+
+    The checks see the run's unreadable rows as well, the load only what has a day.
+    """
     table = "cdm_paid_media_daily"
-    frames = [
-        paid.tiktok_ads(job.feed("tiktok_ads"), stamp=job.stamp),
-        paid.meta_ads(job.feed("meta_ads"), stamp=job.stamp),
-        paid.reddit_ads(job.feed("reddit_ads"), stamp=job.stamp),
-    ]
-    batch = job.staged(paid.combine_ads(frames), table)
-    report = quality.validate_paid_media(batch).collect()  # at most 34 rows
+    feeds = {"tiktok_ads": paid.tiktok_ads, "meta_ads": paid.meta_ads, "reddit_ads": paid.reddit_ads}
+    frames = {source: job.mapped(mapping, source) for source, mapping in feeds.items()}
+    batch = job.staged(paid.combine_ads([rows for rows, _ in frames.values()]), table)
+    odd = [rows for _, rows in frames.values() if rows is not None]
+    checked = batch
+    if odd:
+        # Staged before they are on record: only a first run meets a delivery without any day.
+        checked = batch.unionByName(job.staged(paid.combine_ads(odd), f"{table}_unreadable"))
+    rejected = job.record_unreadable(*feeds)
+    report = quality.validate_paid_media(checked).collect()  # at most 34 rows
     try:
         quality.gate(report)
     except quality.QualityError:
@@ -156,7 +225,7 @@ def _paid_media(job: Job) -> JobResult:
         return failed
     result = job.result()
     result.report = report
-    result.loads[table] = job.load(batch, table)
+    result.loads[table] = job.load(batch, table, rejected=rejected)
     result.previews = {
         "platforms": profile.paid_preview(batch),
         "windows": profile.group_sizes(batch, "platform", "attribution_window"),
@@ -180,8 +249,9 @@ def _organic(job: Job) -> JobResult:
         organic.reddit_posts(job.feed("reddit_organic"), stamp=job.stamp),
     ]
     batch = job.staged(organic.combine_posts(frames), table)
+    rejected = job.record_unreadable("instagram_organic", "tiktok_organic", "reddit_organic")
     result = job.result()
-    result.loads[table] = job.load(batch, table)
+    result.loads[table] = job.load(batch, table, rejected=rejected)
     result.previews = {
         "platforms": profile.organic_preview(batch),
         "rates": profile.rate_check(batch),
@@ -191,29 +261,35 @@ def _organic(job: Job) -> JobResult:
     return result
 
 
-def attribution_job(job: Job, replace_events: bool = False) -> JobResult:
+def attribution_job(job: Job, replace_events: bool = False, event_id: str | None = None) -> JobResult:
     with job.cleaning_up():
-        return _attribution(job, replace_events)
+        return _attribution(job, replace_events, event_id)
 
 
-def _attribution(job: Job, replace_events: bool) -> JobResult:
+def _attribution(job: Job, replace_events: bool, event_id: str | None) -> JobResult:
     """Installs and events to their tables, then the two summaries of the touched periods.
 
     Summaries are recomputed from the stored installs of whole days and months, so a one-day
     run does not leave a month's cohort with that day only.  Events are added to the event log, which a stream may
-    feed as well; the same date range loaded again replaces itself.  `replace_events=True` keeps a
-    table without loads instead, replaced by day like the others.
+    feed as well: the run's days take the place of what earlier runs, of whatever ranges, had added for these days.
+    With `event_id`, a column of the landed events, an event that another load of the log holds is not added again.
+    `replace_events=True` keeps a table without loads instead, replaced by day like the others.
     """
     installs = job.staged(attribution.installs(job.feed("installs"), stamp=job.stamp), "cdm_installs")
-    events = job.staged(
-        attribution.in_app_events(job.feed("in_app_events"), stamp=job.stamp), "cdm_funnel_events"
-    )
+    landed = job.feed("in_app_events")
+    if event_id:
+        landed = landed.withColumn("_event_id", F.col(event_id).cast("string"))
+    events = job.staged(attribution.in_app_events(landed, stamp=job.stamp), "cdm_funnel_events")
     result = job.result()
     loads = result.loads
-    loads["cdm_installs"] = job.load(installs, "cdm_installs")
-    loads["cdm_funnel_events"] = job.load(
-        events, "cdm_funnel_events", "incremental" if replace_events else APPEND
-    )
+    rejected = {source: job.record_unreadable(source) for source in ("installs", "in_app_events")}
+    loads["cdm_installs"] = job.load(installs, "cdm_installs", rejected=rejected["installs"])
+    if replace_events or job.dry_run:
+        mode = "incremental" if replace_events else APPEND
+        loads["cdm_funnel_events"] = job.load(events, "cdm_funnel_events", mode, rejected["in_app_events"])
+    else:
+        with merged(events, job.path("cdm_funnel_events"), LANDED) as new:
+            loads["cdm_funnel_events"] = job.load(new, "cdm_funnel_events", APPEND, rejected["in_app_events"])
     days = months = installs
     if not job.dry_run and loads["cdm_installs"].first_day:
         first, last = loads["cdm_installs"].first_day, loads["cdm_installs"].last_day

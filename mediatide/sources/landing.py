@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import quote
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from mediatide import schemas
 from mediatide.functions.dates import iso_day
 from mediatide.operators.fields import RunStamp
+from mediatide.sources.files import Folder, partition_value
 from mediatide.sources.tables import gathered, many_writers
 
 _META = T.StructType(
@@ -129,15 +131,53 @@ def land_rows(
         writer.parquet(f"{path}/_source={source}/_ingest={name}")
 
 
+@dataclass(frozen=True)
+class Delivered:
+    """What the landing has of a source by its folders: which deliveries have days of a range, and which have rows without a day."""
+
+    in_range: frozenset[str]
+    unreadable: frozenset[str]
+    #: Deliveries without any readable day.
+    dayless: frozenset[str]
+
+
+def delivered(spark: SparkSession, path: str, source: str, start: dt.date, end: dt.date) -> Delivered:
+    pairs = []
+    for folder in Folder(spark, f"{path}/_source={source}").partitions(2):
+        ingest, day = folder.split("/")
+        pairs.append((partition_value(ingest), partition_value(day)))
+    with_day = {name for name, day in pairs if day is not None}
+    unreadable = {name for name, day in pairs if day is None}
+    wanted = {name for name, day in pairs if day is not None and str(start) <= day <= str(end)}
+    return Delivered(frozenset(wanted), frozenset(unreadable), frozenset(unreadable - with_day))
+
+
+_PROVENANCE = ("_source", "_ingest", "_day", "_extracted_at", "_pipeline_version")
+
+
+def _landed(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """All rows of a source; the names of its deliveries stay the texts that they are."""
+    reader, where = spark.read.option("basePath", path), f"{path}/_source={source}"
+    fields = [
+        T.StructField(f.name, T.StringType()) if f.name in ("_ingest", "_day") else f
+        for f in reader.parquet(where).schema.fields
+    ]
+    return spark.read.option("basePath", path).schema(T.StructType(fields)).parquet(where).withColumn("_day", F.col("_day").cast("date"))
+
+
 def read_landing(
     spark: SparkSession, path: str, source: str, start: dt.date, end: dt.date
 ) -> DataFrame:
     """Rows of one source from `start` to `end`, both included, of all deliveries; other days are not read.
 
-    Rows without a readable day come with every range: they belong to no other, and a check or a load has to
-    refuse and count them.
+    Rows without a readable day belong to no range, see unreadable_rows().
     """
-    wanted = F.col("_day").between(F.lit(start), F.lit(end)) | F.col("_day").isNull()
-    provenance = ("_source", "_ingest", "_day", "_extracted_at", "_pipeline_version")
-    rows = spark.read.option("basePath", path).parquet(f"{path}/_source={source}")
-    return rows.withColumn("_day", F.col("_day").cast("date")).where(wanted).drop(*provenance)
+    rows = _landed(spark, path, source)
+    return rows.where(F.col("_day").between(F.lit(start), F.lit(end))).drop(*_PROVENANCE)
+
+
+def unreadable_rows(spark: SparkSession, path: str, source: str, deliveries: Iterable[str]) -> DataFrame:
+    """Rows without a readable day of the named deliveries, each with its `_ingest`."""
+    rows = _landed(spark, path, source)
+    provenance = [c for c in _PROVENANCE if c != "_ingest"]
+    return rows.where(F.col("_day").isNull() & F.col("_ingest").isin(*sorted(deliveries))).drop(*provenance)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Iterator
+import threading
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -12,6 +12,20 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mediatide.sources.files import (
+    Folder,
+    beside,
+    exchange,
+    exchange_partitions,
+    finish,
+    fresh_inside,
+    load_entry,
+    located,
+    partition_value,
+    settle,
+)
+from mediatide.sources.rejected import UNNAMED, add_rejected, keyed, replace_rejected
+
 INCREMENTAL, TRUNCATE, APPEND = "incremental", "truncate", "append"
 
 
@@ -55,19 +69,33 @@ def laid_out(df: DataFrame, partition: str, cluster: tuple[str, ...] = ()) -> Da
     return gathered(df, partition).sortWithinPartitions(partition, *cluster)
 
 
+_writing = threading.Lock()
+#: Sessions that write at this moment: how many writes, and the setting before the first of them.
+_writes: dict[str, tuple[int, str]] = {}
+
+
 @contextmanager
 def many_writers(spark: SparkSession) -> Iterator[None]:
     """While a table is written, AQE leaves small shuffle partitions apart, up to one for each core.
 
-    A batch of very many small days would otherwise be merged into one task that writes file after file.
+    A batch of very many small days would otherwise be merged into one task that writes file after file.  Of several jobs that
+    write in one session at once, the first changes the setting and the last takes it back.
     """
-    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "16KB")
+    name, session = "spark.sql.adaptive.coalescePartitions.minPartitionSize", spark._jsparkSession.sessionUUID()
+    with _writing:
+        count, before = _writes.get(session, (0, None))
+        before = before if count else spark.conf.get(name)
+        _writes[session] = (count + 1, before)
+        spark.conf.set(name, "16KB")
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        with _writing:
+            count, before = _writes.pop(session)
+            if count > 1:
+                _writes[session] = (count - 1, before)
+            else:
+                spark.conf.set(name, before)
 
 
 def _write(df: DataFrame, path: str, partition: str | None, mode: str) -> None:
@@ -80,36 +108,74 @@ def _write(df: DataFrame, path: str, partition: str | None, mode: str) -> None:
         writer.parquet(path)
 
 
-def _replace(spark: SparkSession, fresh: str, path: str) -> None:
-    """Puts the finished folder `fresh` in the place of `path`."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, old = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(path)
-    files = new.getFileSystem(conf)
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{fresh} is complete but could not take the place of {path}")
+def _write_whole(df: DataFrame, path: str, partition: str | None) -> None:
+    """The rows become the whole table: written beside it, so that an error leaves the old one, and then exchanged."""
+    spark, fresh = df.sparkSession, beside(path)
+    try:
+        _write(df, fresh, partition, TRUNCATE)
+        exchange(spark, fresh, path)
+    finally:
+        Folder(spark, fresh).delete()
 
 
 def save_table(df: DataFrame, path: str, partition: str | None = None, cluster: tuple[str, ...] = ()) -> None:
-    """The whole table, replacing what is there: written beside it first, so that an error leaves the old one."""
-    fresh = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
-    _write(laid_out(df, partition, cluster) if partition else df, fresh, partition, TRUNCATE)
-    _replace(df.sparkSession, fresh, path.rstrip("/"))
+    """The whole table, replacing what is there."""
+    _write_whole(laid_out(df, partition, cluster) if partition else df, path, partition)
 
 
-def refresh_table(df: DataFrame, path: str, partition: str, cluster: tuple[str, ...] = ()) -> None:
-    """Replaces the partitions that df has rows for; all others keep their files."""
-    _write(laid_out(df, partition, cluster), path, partition, INCREMENTAL)
+def refresh_table(
+    df: DataFrame, path: str, partition: str, cluster: tuple[str, ...] = (), covers: Callable[[str | None], bool] | None = None
+) -> None:
+    """Replaces the partitions that df has rows for, and drops those that `covers` tells to be df's and that it no longer has.
+
+    All others keep their files.
+    """
+    spark, fresh = df.sparkSession, fresh_inside(path)
+    try:
+        _write(laid_out(df, partition, cluster), fresh, partition, TRUNCATE)
+        new = set(Folder(spark, fresh).partitions(1))
+        there = Folder(spark, path).partitions(1) if covers else []
+        gone = [p for p in there if p not in new and covers(partition_value(p))]
+        exchange_partitions(spark, fresh, path, gone)
+    finally:
+        Folder(spark, fresh).delete()
 
 
-def append_once(laid: DataFrame, path: str, partition: str, load: str) -> None:
+def append_once(
+    laid: DataFrame,
+    path: str,
+    partition: str,
+    load: str,
+    writer: str = "batch",
+    covers: tuple[dt.date, dt.date] | None = None,
+) -> None:
     """Adds a batch under its own name `load` within each partition value: repeated, it replaces itself.
 
-    Batch jobs and streams can so feed one table; `_load` is a partition column below `partition`.
+    Batch jobs and streams can so feed one table; `_load` is a partition column below `partition`.  The table keeps an
+    entry for each load, with its writer and its partitions: what a repeated load no longer holds is dropped, of all its
+    days or, with `covers`, of the days from the first to the last.  A name belongs to one writer.
     """
-    writer = laid.withColumn("_load", F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    with many_writers(laid.sparkSession):
-        writer.partitionBy(partition, "_load").parquet(path)
+    spark, fresh = laid.sparkSession, fresh_inside(path)
+    finish(spark, path)
+    entry = load_entry(spark, path, load)
+    if entry and entry["writer"] != writer:
+        raise ValueError(f"load {load} of {path} belongs to {entry['writer']}")
+
+    def covered(place: str) -> bool:
+        day = partition_value(place)
+        return covers is None or (day is not None and str(covers[0]) <= day <= str(covers[1]))
+
+    try:
+        out = laid.withColumn("_load", F.lit(load)).write.mode("overwrite").partitionBy(partition, "_load")
+        with many_writers(spark):
+            out.parquet(fresh)
+        new = Folder(spark, fresh).partitions(2)
+        before = entry["partitions"] if entry else []
+        gone = [p for p in before if p not in set(new) and covered(p)]
+        partitions = sorted((set(before) - set(gone)) | set(new))
+        exchange_partitions(spark, fresh, path, gone, 2, {"load": load, "writer": writer, "partitions": partitions})
+    finally:
+        Folder(spark, fresh).delete()
 
 
 def save_run_copy(df: DataFrame, path: str, run_date: dt.date) -> None:
@@ -117,39 +183,36 @@ def save_run_copy(df: DataFrame, path: str, run_date: dt.date) -> None:
     _write(df.withColumn("run_date", F.lit(run_date)), path, "run_date", INCREMENTAL)
 
 
-def rejected_name(first: object, last: object, digest: object, mode: str, load: str | None) -> str:
-    """The load's name; else the range that an incremental load replaces, or the hash of a batch with no range.
+def keep_rejected(checked: DataFrame, path: str, partition: str, mode: str, load: str | None) -> int:
+    """Stores the rows without a partition value; how many there are.
 
-    A batch appended without a name is added each time in the table, and so are its rejected rows.
+    Those of a named load replace what the load had rejected before, those of a full refresh all others.  Without a name a row
+    that is there already is not added again.
     """
-    if load:
-        return load
-    if mode == APPEND:
-        return uuid.uuid4().hex
-    return f"{first}_{last}" if first is not None else f"none_{digest}"
-
-
-def keep_rejected(checked: DataFrame, path: str, partition: str, mode: str, load: str | None) -> int:
-    """Stores the rows without a partition value under the load's own name, in place of those it had there before."""
     homeless = checked.where(F.col(partition).isNull())
-    row = checked.agg(
-        F.count_if(F.col(partition).isNull()).alias("rejected"), F.min(partition).alias("first"), F.max(partition).alias("last"),
-    ).first()
-    digest = None
-    if row["rejected"] and row["first"] is None and not load:
-        digest = homeless.agg(F.sum(F.xxhash64(*checked.columns).cast("decimal(38,0)"))).first()[0]
-    name = rejected_name(row["first"], row["last"], digest, mode, load)
-    spark = checked.sparkSession
-    if row["rejected"]:
-        overwrite = "static" if mode == TRUNCATE else "dynamic"
-        writer = homeless.withColumn("_load", F.lit(name)).write.mode("overwrite").option("partitionOverwriteMode", overwrite)
-        writer.partitionBy("_load").parquet(path)
+    rejected = homeless.count()
+    if not rejected:
+        forget_rejected(checked.sparkSession, path, mode, load)
+        return 0
+    rows = keyed(homeless, F.lit(load or UNNAMED))
+    if mode == TRUNCATE:
+        _write_whole(rows, path, "_delivery")
+    elif load:
+        replace_rejected(rows, path, [load])
     else:
-        # What the load had rejected before is in the table now.
-        own = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
-        old = spark._jvm.org.apache.hadoop.fs.Path(path if mode == TRUNCATE else f"{path}/_load={own}")
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-    return row["rejected"]
+        add_rejected(rows, path)
+    return rejected
+
+
+def forget_rejected(spark: SparkSession, path: str, mode: str, load: str | None) -> None:
+    """For a load that has rejected nothing: what it had rejected before is in the table now."""
+    ledger = Folder(spark, path)
+    if mode == TRUNCATE:
+        ledger.delete()
+    elif load:
+        for partition in ledger.partitions(1):
+            if partition_value(partition) == load:
+                ledger.delete(partition)
 
 
 def load_table(
@@ -161,17 +224,18 @@ def load_table(
     cluster: tuple[str, ...] = (),
     dry_run: bool = False,
     load: str | None = None,
+    covers: tuple[dt.date, dt.date] | None = None,
 ) -> LoadResult:
     """Loads a batch and tells rows and date range.
 
     incremental: replaces exactly the partitions present in the batch, so a rerun of the same
     days leaves the same table and an empty batch changes nothing.  truncate: replaces the
-    table.  append: adds; with a name `load` (see append_once) a repeated load replaces itself, and all loads of
-    the table need one.  A dry run evaluates and checks the batch and writes nothing.
+    table, which an error leaves as it was.  append: adds; with a name `load` (see append_once, also for `covers`) a repeated
+    load replaces itself, and all loads of the table need one.  A dry run evaluates and checks the batch and writes nothing.
 
     Rows without a partition value belong to no day that a later load could replace.  They are counted as
-    rejected and kept beside the table in `<path>__rejected`, under the load's own name in `_load` (see
-    rejected_name): a repeated load replaces only its own, and truncate those of all loads, as it does in the table.
+    rejected and kept beside the table in `<path>__rejected`, each once (see keep_rejected).  The batch is read a second time
+    only if there are any.
     """
     if mode not in (INCREMENTAL, TRUNCATE, APPEND):
         raise ValueError(mode)
@@ -183,16 +247,26 @@ def load_table(
         # Hashing every column makes the checks of all of them run without keeping any row.
         row = checked.agg(*figures, F.count_if(~placed).alias("rejected"), F.max(F.xxhash64(*checked.columns))).first()
         return LoadResult("dry_run", table, row["rows"], row["first"], row["last"], row["rejected"])
-    rejected = keep_rejected(checked, path.rstrip("/") + "__rejected", partition, mode, load) if schema[partition].nullable else 0
+    # Whether any row has no place is seen on the way; how many is counted apart, since a repeated task counts twice here.
+    homeless, nullable = Observation(f"rejected {table}"), schema[partition].nullable
+    observed = checked.observe(homeless, F.count_if(~placed).alias("rows")).where(placed) if nullable else checked
     # Observed behind the shuffle, in the writing stage, where each task counts once.
     seen = Observation(f"load {table}")
-    observed = checked.where(placed) if schema[partition].nullable else checked
     laid = laid_out(observed, partition, cluster).observe(seen, *figures)
     if mode == APPEND and load:
-        append_once(laid, path, partition, load)
+        append_once(laid, path, partition, load, covers=covers)
+    elif mode == TRUNCATE:
+        _write_whole(laid, path, partition)
     else:
+        finish(df.sparkSession, path)
+        settle(df.sparkSession, path)
         _write(laid, path, partition, mode)
-    got = seen.get
+    got, rejected, ledger = seen.get, 0, path.rstrip("/") + "__rejected"
+    # A write that turns out to have no rows at all is cut short before it tells anything.
+    if nullable and (not got["rows"] or homeless.get["rows"]):
+        rejected = keep_rejected(checked, ledger, partition, mode, load)
+    elif nullable:
+        forget_rejected(df.sparkSession, ledger, mode, load)
     return LoadResult("success", table, got["rows"], got["first"], got["last"], rejected)
 
 
@@ -207,8 +281,11 @@ def read_table(
     """A stored table, or only its partitions from `start` to `end`, both included.
 
     With `schema` the columns come in its order (a partition column is stored last) and a
-    table that has no file yet reads as empty.
+    table that has no file yet reads as empty.  An exchange of the table or of its partitions that was cut short is no hindrance.
     """
+    path = located(spark, path)
+    if "*" not in path:
+        finish(spark, path)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
@@ -235,6 +312,16 @@ def table_ddl(name: str, schema: T.StructType, partition: str | None = None, pat
 
 
 def create_table_as(df: DataFrame, name: str, path: str, partition: str | None = None) -> None:
-    """Creates or replaces a catalog table with the rows of a model."""
-    writer = df.write.mode("overwrite").format("parquet").option("path", path)
-    (writer.partitionBy(partition) if partition else writer).saveAsTable(name)
+    """Creates or replaces a catalog table with the rows of a model; an error in the model leaves the old table and its rows."""
+    spark = df.sparkSession
+    _write_whole(df, path, partition)
+    columns = [f for f in df.schema.fields if f.name != partition] + [f for f in df.schema.fields if f.name == partition]
+    wanted = [(f.name, f.dataType) for f in columns]
+    if spark.catalog.tableExists(name) and [(f.name, f.dataType) for f in spark.table(name).schema.fields] == wanted:
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        fields = T.StructType([T.StructField(n, kind) for n, kind in wanted])
+        spark.sql(table_ddl(name, fields, partition, path))
+    if partition:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")

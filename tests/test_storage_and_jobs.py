@@ -9,7 +9,7 @@ from mediatide import schemas
 from mediatide.operators.fields import RunStamp
 from mediatide.plans import jobs, models
 from mediatide.session import scratch_path, shared_dir
-from mediatide.sources import landing, tables
+from mediatide.sources import files, landing, tables
 from mediatide.streaming import events as event_log
 
 DAY = dt.date
@@ -256,3 +256,87 @@ def test_plain_json_arrays(spark, tmp_path):
     path = tmp_path / "events.json"
     path.write_text(json.dumps([{"event_id": "e", "platform": "iOS", "properties": "{}"}, {"event_id": "f"}]))
     assert landing.read_json_rows(spark, str(path), schemas.APP_EVENTS).count() == 2
+
+
+# --- exchanges ------------------------------------------------------------------------------
+
+
+def test_an_exchange_cut_short_at_any_step_loses_nothing(spark, tmp_path):
+    path, one, two = str(tmp_path / "t"), DAY(2025, 1, 1), DAY(2025, 1, 2)
+    tables.save_table(batch(spark, [("a", one, 1), ("b", two, 2)]).select("date", "k", F.col("v").cast("long")), path, "date")
+    folder = files.Folder(spark, path)
+    # Moved away, nothing in its place: readers find it, a writer moves it back first.
+    folder.move("", f"{path}__before")
+    assert stored(spark, path) == [(one, "a", 1), (two, "b", 2)]
+    files.settle(spark, path)
+    assert folder.exists() and not files.Folder(spark, f"{path}__before").exists()
+    # The new one is in place and the old one still there.
+    batch(spark, [("old", one, 0)]).write.parquet(f"{path}__before")
+    tables.save_table(batch(spark, [("c", two, 3)]).select("date", "k", F.col("v").cast("long")), path, "date")
+    assert stored(spark, path) == [(two, "c", 3)] and sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    # A note of partitions to be moved, one of them moved already.
+    fresh = files.fresh_inside(path)
+    batch(spark, [("d", one, 4), ("e", two, 5)]).withColumn("v", F.col("v").cast("long")).write.partitionBy("date").parquet(fresh)
+    note = {"fresh": fresh.rsplit("/", 1)[-1], "depth": 1, "gone": ["date=2025-01-03"]}
+    folder.write_text("_notes/n.json", json.dumps(note))
+    files.Folder(spark, fresh).move("date=2025-01-01", f"{path}/date=2025-01-01")
+    for _ in range(2):
+        assert stored(spark, path) == [(one, "d", 4), (two, "e", 5)]
+    assert folder.children("_notes") == [] and not files.Folder(spark, fresh).exists()
+
+
+def test_a_failing_exchange_puts_the_table_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save_table(batch(spark, [("a", DAY(2025, 1, 1), 1)]), path, "date")
+    with pytest.raises(Exception):
+        files.exchange(spark, str(tmp_path / "nothing"), path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_loads_are_known_by_name_writer_and_partitions(spark, tmp_path):
+    path, one, two, three = str(tmp_path / "log"), *(DAY(2025, 1, d) for d in (1, 2, 3))
+
+    def add(rows, load, **options):
+        tables.append_once(batch(spark, rows).select("date", "k", "v"), path, "date", load, **options)
+
+    add([("a", one, 1), ("b", two, 2), ("c", three, 3)], "x/1")
+    add([("s", two, 9)], "stream-0", writer="first")
+    with pytest.raises(ValueError, match="belongs to first"):
+        add([("t", two, 9)], "stream-0", writer="second")
+    assert files.load_entry(spark, path, "x/1")["partitions"] == [f"date=2025-01-0{d}/_load=x%2F1" for d in (1, 2, 3)]
+    # Only days 1 and 2 are covered: day 3 stays, day 1 is gone.
+    add([("B", two, 5)], "x/1", covers=(one, two))
+    assert sorted((r["k"], r["date"]) for r in spark.read.parquet(path).collect()) == [("B", two), ("c", three), ("s", two)]
+    add([], "x/1")
+    assert [r["k"] for r in spark.read.parquet(path).collect()] == ["s"]
+
+
+def test_equal_rejected_rows_of_a_delivery_are_all_held(spark, tmp_path):
+    loose, path = schemas._struct("date date, k string, v bigint"), str(tmp_path / "t")
+    rows = [("same", None, 1)] * 3 + [("other", None, 1), ("placed", DAY(2025, 1, 1), 1)]
+    for _ in range(2):
+        assert tables.load_table(batch(spark, rows), path, loose).rejected == 4
+    assert spark.read.parquet(path + "__rejected").count() == 4
+
+
+def test_writes_at_once_restore_the_setting(spark):
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(name)
+    with tables.many_writers(spark):
+        with tables.many_writers(spark):
+            assert spark.conf.get(name) == "16KB"
+        assert spark.conf.get(name) == "16KB"
+    assert spark.conf.get(name) == before
+
+
+def test_marts_without_a_known_state_are_built(spark, tmp_path):
+    land_ads(spark, str(tmp_path / "landing"))
+    run = job(spark, tmp_path)
+    jobs.paid_media_job(run)
+    cdm = {"cdm_paid_media_daily": tables.read_table(spark, run.path("cdm_paid_media_daily"), schema=schemas.CDM_PAID_MEDIA)}
+    root = str(tmp_path / "marts")
+    for _ in range(2):
+        built = models.refresh_models(spark, cdm, root, DAY(2025, 1, 31))
+        assert built["mart_channel_performance_daily"].agg(F.sum("cost_usd")).first()[0] == 300.0
+    nothing = {"cdm_paid_media_daily": cdm["cdm_paid_media_daily"].where("date > DATE '2030-01-01'")}
+    assert models.refresh_models(spark, nothing, root, DAY(2025, 1, 31))["mart_channel_performance_daily"].count() == 0
