@@ -7,20 +7,24 @@ has, for allowed chunk errors e_1..e_16 with sum(e_i + 1) = 26, some chunk i wit
 10 chunks allow one error (4 keys, one for each value left out), 6 allow none (1 key), 46 keys a document.
 
 Documents with the same set of shingles form one class and only classes are compared.  In every key the members
-are first compared with its most central one, which joins groups of near copies without listing their pairs.  Then members of a key
-that are still alone are compared with each other, each pair in the first key that it shares; and every member meets the
-whole components, larger than its own, that it shares a key with, in blocks in memory.  A pair of documents goes
-on when its signatures are within the threshold, and links when 100 * |a & b| >= 80 * |a | b| on the full sets.
-The query and the pipeline's stage both use shingles of two words.
-
-Defined results: documents without words have an empty set and link with nothing; rows without doc_id take part
-and give no id to a component (component_id is null if no member has one); rows that repeat a doc_id
-are separate rows with equal id.  Only doc_id and text are read.  An empty table gives an empty result.
+are first compared with its most central one, which joins groups of near copies without listing their pairs.  Keys whose members then still
+belong to several components are chained into clusters, and in each cluster the members outside its largest component are compared with all
+of them, by an index of shingles in memory, in blocks; what comes out is one link for each two components that a document joins,
+never a row for each pair.  While a cluster has more such members than a block holds, one of them, chosen by hash, is first
+compared with the whole cluster, which takes one row a member and again joins what is near to it.
+A pair links when 100 * |a & b| >= 80 * |a | b| on the full sets.
+The query takes shingles of two words, the pipeline's stage of five.
+
+Defined results: documents without words have an empty set and link with nothing, and the stage keeps all of them; rows without doc_id
+take part and give no id to a component (component_id is null if no member has one); rows that repeat a doc_id
+are separate rows with equal id; of several rows with the smallest id of a component the stage keeps one; very long texts are
+read whole.  The stage reads all columns to tell rows apart, the rest only doc_id and text.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -59,6 +63,8 @@ class WordHashes(dict):
 MAX_WORDS_KEPT = 400_000
 SHINGLES_AT_ONCE = 500_000
 ROWS_PER_BUNDLE = 1_000
+#: Leads tried in a cluster before all that is left meets in blocks.
+MOST_LEADS = 12
 
 
 def shingles(text: str | None, words: WordHashes, length: int = 2) -> np.ndarray:
@@ -113,8 +119,8 @@ def _features(length: int):
             flat = np.concatenate(signatures) if signatures else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, CHUNKS, dtype=np.int32), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tid"), pa.array(sizes, pa.int64()), pa.array(f1), pa.array(f2), lists],
-                ["doc_id", "tid", "n_shingles", "f1", "f2", "sig"],
+                [batch.column("doc_id"), batch.column("tid"), batch.column("whole"), pa.array(sizes, pa.int64()), pa.array(f1), pa.array(f2), lists],
+                ["doc_id", "tid", "whole", "n_shingles", "f1", "f2", "sig"],
             )
 
     return run
@@ -177,18 +183,20 @@ def first_key(a: str, b: str) -> Column:
 
 
 def identified(docs: DataFrame) -> DataFrame:
+    """doc_id, tid (a hash of the text), whole (a hash of the row), text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.alias("text"))
+    whole = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), whole.alias("whole"), text.alias("text"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, length: int = 2) -> DataFrame:
-    """doc_id, tid, n_shingles, component_id, kept, first (one row of each component) for every row of docs.
+    """doc_id, tid, whole, n_shingles, component_id, kept, first (one row of each component) for every row of docs.
 
     Shingles are of `length` words.
     """
     prepare(docs.sparkSession)
     texts = identified(docs)
-    shape = "doc_id long, tid long, n_shingles long, f1 long, f2 long, sig array<long>"
+    shape = "doc_id long, tid long, whole long, n_shingles long, f1 long, f2 long, sig array<long>"
     rows = store(texts.mapInArrow(_features(length), shape).withColumn("rid", F.monotonically_increasing_id()), "signatures")
     full = rows.where("n_shingles > 0")
     grouped = full.groupBy("f1", "f2").agg(F.min("rid").alias("node"))
@@ -237,37 +245,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80, length: int = 2) -> Data
     stars = store(within(stars), "stars")
     links = confirmed(stars, "links")
     labels = store(connected_components(links), "labels")
-    sizes = labels.groupBy("component").agg(F.count("*").alias("size")).select(F.bitwise_not("component").alias("c"), "size")
-    sized = labels.select("node", "component", F.bitwise_not("component").alias("c")).join(sizes, "c")
-    named = members.join(sized.select("node", "component", "size"), "node", "left")
-    named = store(named.select(F.bitwise_not("k").alias("key"), "place", "node", "component", "size"), "named")
-
-    # Members that are still alone, with each other: each pair in the first key that it shares.
-    alone = named.where("component IS NULL").select("key", "place", "node")
-    crowded = alone.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.bitwise_not("key").alias("k"))
-    alone = alone.withColumn("k", F.bitwise_not("key")).join(crowded, "k", "left_semi").join(signatures, "node")
-    alone = store(alone.select("key", "place", "node", "sig"), "alone")
-    a = alone.select(F.col("key").alias("key_a"), F.col("node").alias("a"), F.col("sig").alias("sig_a"), "place")
-    b = alone.select(F.col("key").alias("key_b"), F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-    near = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (errors("sig_a", "sig_b") <= MAX_ERRORS)
-    pairs = store(a.join(b, near & (first_key("sig_a", "sig_b") == F.col("place"))).select("a", "b"), "lone_pairs")
-    lone_links = confirmed(pairs, "lone_links")
-
-    # Every member with the whole components, larger than its own, that it shares a key with.
-    parts = named.where("component IS NOT NULL").select("key", F.col("component").alias("other"), F.col("size").alias("others")).distinct()
-    parts = parts.select(F.bitwise_not("key").alias("k"), "other", "others")
-    smaller = (F.col("size") < F.col("others")) | ((F.col("size") == F.col("others")) & (F.col("component") < F.col("other")))
-    strange = F.col("component").isNull() | smaller
-    visits = named.withColumn("k", F.bitwise_not("key")).join(parts, "k").where(strange).select("node", "other").distinct()
-    visits = store(visits, "visits")
-    visit_links = _visited(visits, labels, classes, sets_of, percent)
-    components = store(connected_components(links.union(lone_links).union(visit_links)), "components")
-    discard(members, named, alone, pairs, stars, links, lone_links, labels, visits, visit_links)
+    named = members.select("k", "node").join(labels, "node", "left")
+    named = store(named.select(F.bitwise_not("k").alias("key"), "node", F.coalesce("component", "node").alias("component")), "named")
+
+    # Keys whose members are of several components, chained into clusters of components.
+    ranges = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    ranges = store(ranges.select(F.bitwise_not("key").alias("k"), "low"), "ranges")
+    mixed = named.withColumn("k", F.bitwise_not("key")).join(ranges, "k")
+    chains = mixed.where("component <> low").select(F.col("component").alias("a"), F.col("low").alias("b")).distinct()
+    clusters = store(connected_components(chains), "clusters").select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    pool = mixed.select("node", "component").distinct().join(clusters, "component").join(classes.select("node", "n_shingles"), "node")
+    pool = store(pool.select("node", "cluster", "component", "n_shingles"), "pool")
+    sets = sets_of(pool.select("node"))
+    cluster_links = _cluster_links(pool, sets, percent)
+    components = store(connected_components(links.unionByName(cluster_links)), "components")
+    discard(members, named, ranges, stars, links, labels, pool, sets, cluster_links)
 
     nodes = store(classes.select("f1", "f2", "node").join(components, "node", "left")
                   .select("f1", "f2", F.coalesce("component", "node").alias("component")), "nodes")
     discard(classes, components)
-    placed = rows.select("rid", "doc_id", "tid", "n_shingles", "f1", "f2").join(nodes, ["f1", "f2"], "left")
+    placed = rows.select("rid", "doc_id", "tid", "whole", "n_shingles", "f1", "f2").join(nodes, ["f1", "f2"], "left")
     # Rows without a set are components of their own: a negative number no node has.
     placed = store(placed.withColumn("component", F.coalesce("component", -1 - F.col("rid"))), "placed")
     discard(rows, nodes)
@@ -276,19 +273,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, length: int = 2) -> Data
     groups = smallest.join(first, "component").select(F.bitwise_not("component").alias("c"), "component_id", "f.rid")
     out = placed.withColumn("c", F.bitwise_not("component")).join(groups.withColumnRenamed("rid", "first_rid"), "c")
     return out.select(
-        "doc_id", "tid", "n_shingles", "component_id",
+        "doc_id", "tid", "whole", "n_shingles", "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
         (F.col("rid") == F.col("first_rid")).alias("first"),
     )
 
 
 def _meetings(percent: int):
-    """Of a bundle of (component, block, share): each visitor with the first member it links to."""
+    """Of a bundle of (cluster, block, share): for each visitor one link to each other component that it links to."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
-        frame = frame.sort_values(["other", "block", "share", "visitor"], ignore_index=True)
-        for _, group in frame.groupby(["other", "block", "share"], sort=False):
+        frame = frame.sort_values(["cluster", "block", "share", "visitor", "node"], ignore_index=True)
+        for _, group in frame.groupby(["cluster", "block", "share"], sort=False):
             hosts, guests = group[~group["visitor"]], group[group["visitor"]]
             if not len(hosts) or not len(guests):
                 continue
@@ -297,48 +294,83 @@ def _meetings(percent: int):
             flat = np.concatenate(sets)
             order = np.argsort(flat, kind="stable")
             owner, flat = np.repeat(np.arange(len(sets)), sizes)[order], flat[order]
-            nodes = hosts["node"].to_numpy()
-            for node, mine in zip(guests["node"], guests["hashes"], strict=True):
+            nodes, parts = hosts["node"].to_numpy(), hosts["component"].to_numpy()
+            for node, part, mine in zip(guests["node"], guests["component"], guests["hashes"], strict=True):
                 mine = np.asarray(mine)
                 low, high = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
                 n = high - low
                 at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                 common = np.bincount(owner[at], minlength=len(sets))
-                linked = np.flatnonzero(100 * common >= percent * (sizes + len(mine) - common))
+                linked = np.flatnonzero((100 * common >= percent * (sizes + len(mine) - common)) & (parts != part))
                 if len(linked):
-                    found.append((int(node), int(nodes[linked[0]])))
+                    _, first = np.unique(parts[linked], return_index=True)
+                    found += [(int(node), int(nodes[x])) for x in linked[first]]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _visited(visits: DataFrame, labels: DataFrame, classes: DataFrame, sets_of, percent: int) -> DataFrame:
-    """Links between visitors and the components they visit: one for each such pair that has any.
+def _cuts(pool: DataFrame) -> DataFrame:
+    """Of each cluster (o: its complement) with several components: its largest, and how many blocks its members and its strangers fill."""
+    size = pool.groupBy("cluster", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("sum"))
+    cluster = size.groupBy("cluster").agg(
+        F.max(F.struct("n", "component")).alias("most"), F.sum("sum").alias("all"), F.count("*").alias("parts")
+    )
+    own = cluster.where("parts > 1").select("cluster", F.col("most.component").alias("component"), "all")
+    cut = own.join(size.select("cluster", "component", "sum"), ["cluster", "component"])
+    blocks = lambda x: F.greatest(F.lit(1), F.ceil(x / SHINGLES_AT_ONCE)).cast("long")
+    return cut.select(
+        F.bitwise_not("cluster").alias("o"), F.col("component").alias("home"),
+        blocks(F.col("all")).alias("blocks"), blocks(F.col("all") - F.col("sum")).alias("shares"),
+    )
+
+
+def _cluster_links(pool: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components of one cluster; with those that made the components, a spanning forest of all links.
 
-    A component is cut into blocks of about SHINGLES_AT_ONCE shingles and so are its visitors; each block of members meets each
-    block of visitors in memory, by an index of shingles, so that no pair of documents is ever a row.
+    pool: node, cluster, component, n_shingles; sets: node, hashes.
     """
-    weights = classes.select("node", "n_shingles")
-    hosts = labels.select("node", F.col("component").alias("other")).join(visits.select("other").distinct(), "other", "left_semi")
-    hosts = store(hosts.join(weights, "node"), "hosts")
-    blocks = hosts.groupBy("other").agg(F.ceil(F.sum("n_shingles") / SHINGLES_AT_ONCE).alias("blocks"))
-    shares = visits.join(weights, "node").groupBy("other").agg(F.ceil(F.sum("n_shingles") / SHINGLES_AT_ONCE).alias("shares"))
-    cuts = store(blocks.join(shares, "other").select(F.bitwise_not("other").alias("o"), "blocks", "shares"), "cuts")
-    sets = sets_of(hosts.select("node").union(visits.select("node")).distinct())
+    peeled, rounds = [], 0
+    held = pool
+    while True:
+        cuts = store(_cuts(held), "cuts")
+        # Another lead helps while the strangers of a cluster fill more than one block.
+        if rounds == MOST_LEADS or not cuts.where("shares > 1").limit(1).count():
+            break
+        keyed = held.withColumn("o", F.bitwise_not("cluster")).join(cuts.where("shares > 1"), "o")
+        lead = keyed.where("component <> home").groupBy("o").agg(F.min(F.struct(F.xxhash64("node", F.lit(rounds)).alias("h"), "node")).alias("lead"))
+        lead = lead.select("o", F.col("lead.node").alias("lead")).join(sets.select(F.col("node").alias("lead"), F.col("hashes").alias("theirs")), "lead")
+        lead = store(lead, "leads")
+        met = keyed.select("o", "node").join(sets, "node").join(lead, "o").where("node <> lead")
+        common = F.size(F.array_intersect("hashes", "theirs"))
+        pairs = met.select("node", "lead", (F.size("hashes") + F.size("theirs")).alias("sizes"), common.alias("common"))
+        near = store(pairs.where(F.expr(f"100 * common >= {percent} * (sizes - common)")).select(F.col("node").alias("a"), F.col("lead").alias("b")), "near")
+        peeled.append(near)
+        # Components that a lead has joined are one from now on.
+        part = held.select("node", "component")
+        joined = near.join(part.select(F.col("node").alias("a"), F.col("component").alias("p")), "a").join(
+            part.select(F.col("node").alias("b"), F.col("component").alias("q")), "b"
+        )
+        merged = connected_components(joined.select(F.col("p").alias("a"), F.col("q").alias("b")))
+        renamed = held.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+        held = store(renamed.select("node", "cluster", F.coalesce("to", "component").alias("component"), "n_shingles"), "pool")
+        rounds += 1
     zero = F.lit(0).cast("long")
+    cut = held.withColumn("o", F.bitwise_not("cluster")).join(cuts, "o")
 
     def spread(rows: DataFrame, own: str, all_: str, block: str, share: str, visitor: bool) -> DataFrame:
-        cut = rows.select("node", "other", F.bitwise_not("other").alias("o")).join(cuts, "o")
-        cut = cut.withColumn(block, F.pmod(F.xxhash64("node"), F.col(own)))
-        cut = cut.withColumn(share, F.explode(F.sequence(zero, F.col(all_) - 1)))
-        return cut.select("node", "other", "block", "share", F.lit(visitor).alias("visitor"))
+        rows = rows.withColumn(block, F.pmod(F.xxhash64("node"), F.col(own)))
+        rows = rows.withColumn(share, F.explode(F.sequence(zero, F.col(all_) - 1)))
+        return rows.select("node", "cluster", "component", "block", "share", F.lit(visitor).alias("visitor"))
 
-    meeting = spread(hosts, "blocks", "shares", "block", "share", False).union(spread(visits, "shares", "blocks", "share", "block", True))
-    meeting = store(meeting, "meetings")
+    hosts = spread(cut, "blocks", "shares", "block", "share", False)
+    visitors = spread(cut.where("component <> home"), "shares", "blocks", "share", "block", True)
+    meeting = store(hosts.union(visitors), "meetings")
     bundles = 1 + meeting.count() // ROWS_PER_BUNDLE
-    bundled = meeting.withColumn("bundle", F.pmod(F.xxhash64("other", "block", "share"), F.lit(bundles))).join(sets, "node")
-    out = store(bundled.groupBy("bundle").applyInPandas(_meetings(percent), "a long, b long"), "visit_links")
-    discard(hosts, cuts, sets, meeting)
+    bundled = meeting.withColumn("bundle", F.pmod(F.xxhash64("cluster", "block", "share"), F.lit(bundles))).join(sets, "node")
+    found = bundled.groupBy("bundle").applyInPandas(_meetings(percent), "a long, b long")
+    out = store(reduce(DataFrame.unionByName, peeled, found), "cluster_links")
+    discard(meeting, cuts)
     return out
 
 
@@ -348,13 +380,17 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component, with all its columns."""
-    kept = near_duplicates(docs).where("first").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tid")
+    """One row of each component, with all its columns; near are documents with shingles of five words."""
+    key = ["did", "tid", "whole"]
+    first = near_duplicates(docs, length=5).where("first").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tid", "whole")
+    # Rows without words are components of their own, also where all their columns are equal.
+    kept = first.groupBy(*key).agg(F.count("*").alias("copies"))
     others = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(
+    marked = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"),
         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tid"),
+        F.xxhash64(*others).alias("whole"),
         F.struct(*others).alias("row"),
     )
-    chosen = rows.join(kept, ["did", "tid"], "left_semi").dropDuplicates(["did", "tid"])
+    chosen = marked.join(kept, key).dropDuplicates(key).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return chosen.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

@@ -36,16 +36,16 @@ def components(nodes, edges) -> dict:
     return {n: find(n) for n in nodes}
 
 
-def shingle_set(text: str | None) -> frozenset:
+def shingle_set(text: str | None, length: int = 2) -> frozenset:
     w = words(ascii_lower(text or ""))
-    if len(w) < 2:
+    if len(w) < length:
         return frozenset([tuple(w)]) if w else frozenset()
-    return frozenset(zip(w, w[1:], strict=False))
+    return frozenset(zip(*(w[i:] for i in range(length)), strict=False))
 
 
-def near_documents(rows) -> dict[int, tuple[int, int, bool]]:
+def near_documents(rows, length: int = 2) -> dict[int, tuple[int, int, bool]]:
     """doc_id -> (n_shingles, component_id, kept)."""
-    sets = {i: shingle_set(t) for i, t in rows}
+    sets = {i: shingle_set(t) if length == 2 else shingle_set(t, length) for i, t in rows}
     holders = defaultdict(list)
     for i, s in sets.items():
         for x in s:

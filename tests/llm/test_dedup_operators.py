@@ -5,6 +5,7 @@ import random
 
 import brute
 import numpy as np
+import pytest
 from rows import odd_rows
 
 from mediatide.llm import hamming_dedup, lattice_dedup, line_dedup
@@ -90,6 +91,36 @@ def test_group_of_near_copies_is_one_component_without_its_base(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in hamming_dedup.near_duplicates(df).collect()} == wanted
 
 
+@pytest.mark.parametrize("leads", [0, 3, 12])
+def test_clusters_larger_than_a_block(spark, monkeypatch, leads):
+    """Chains of documents, each near to the next only, in more blocks than one, with and without leads tried before."""
+    monkeypatch.setattr(hamming_dedup, "SHINGLES_AT_ONCE", 1_500)
+    monkeypatch.setattr(hamming_dedup, "MOST_LEADS", leads)
+    rng = random.Random(6)
+    rows = []
+    for chain in range(3):
+        words = [f"w{chain}_{i}" for i in range(120)]
+        for n in range(40):
+            for _ in range(rng.choice([3, 5, 8])):
+                words[rng.randrange(120)] = f"v{rng.random()}"
+            rows.append((100 * chain + n, " ".join(words)))
+    wanted = brute.near_documents(rows)
+    assert 10 < len({c for _, c, _ in wanted.values()}) < 100
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in hamming_dedup.near_duplicates(df).collect()} == wanted
+
+
+def test_stage_loses_no_row(spark):
+    """Rows without words stay, whatever their ids; of rows that share id and text one stays, with its own columns."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, None, "en"), (None, None, "de"), (None, None, "fr"), (None, None, "fr"), (7, "", "x"), (7, "", "y"), (1, text, "a"), (1, text, "b"), (2, text, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = [tuple(r) for r in hamming_dedup.stage(spark, docs, "").collect()]
+    assert sorted((r for r in out if r[1] != text), key=repr) == sorted(rows[:6], key=repr)
+    kept = [r for r in out if r[1] == text]
+    assert len(kept) == 1 and kept[0] in rows[6:8]
+
+
 def test_near_documents_of_longer_shingles_agree_with_all_pairs(spark, monkeypatch):
     """Changes a few words apart break few shingles of two words and many of five."""
     rng = random.Random(4)

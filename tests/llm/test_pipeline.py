@@ -26,7 +26,7 @@ def test_stages_in_turn(spark, small, monkeypatch):
     assert all(any(c.isalpha() for c in t) for _, t, _ in languages)
     assert len(languages) >= 0.95 * sum(any(c.isalpha() for c in t or "") for t in all_rows.values())
     assert sorted((i, t) for i, t, _ in lines) == sorted((i, t) for i, _, _, t in plain_lines([(i, t) for i, t, _ in languages]))
-    groups = brute.near_documents([(i, t) for i, t, _ in lines])
+    groups = brute.near_documents([(i, t) for i, t, _ in lines], 5)
     assert sorted(i for i, _, _ in unique) == sorted(i for i, (_, _, kept) in groups.items() if kept)
     copies = Counter(i for i, _, _ in mixed)
     assert max(copies.values()) <= 2
