@@ -14,10 +14,16 @@ packed as documents of their own; other columns are not read.  An empty table gi
 
 from __future__ import annotations
 
+import json
+import re
+import sys
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -25,43 +31,116 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediatide.llm.common import discard, prepare, salted_ranks, store, table
+from mediatide.llm.common import RecentCache, byte_letters, discard, prepare, salted_ranks, store, table
 
 CAPACITY = 2048
 END = b"\x00\x00\x00\x00"
 
 
-class WordIds(dict):
+#: Bytes of words whose ids one worker keeps, and words encoded in one call.
+WORD_BYTES, WORDS_PER_CALL = 32 << 20, 2_000
+#: Stands between words that are encoded together: a control character, which is a token of its own.
+SEPARATOR = "\x1f"
+
+_MARK = re.compile(rb"([a-z])([.,;:!?])(?=[ \n])")
+
+
+#: A byte that UTF-8 never has stands for the end of a word in the merges.
+END_OF_WORD = b"\xff"
+
+
+def _plain(key: bytes) -> bool:
+    word = key.decode("utf-8")
+    return word.isalpha() and word == word.lower() and unicodedata.is_normalized("NFC", word)
+
+
+def _merges(vocabulary: str):
+    """The merges of the vocabulary as a function from a word's bytes, with its end, to ids; None if the file is of another kind.
+
+    Ids must be the order of the merges, and each byte with the end of a word a token before all others that have it: then
+    merging the last byte with the end comes first, and the rest follows in the order of ids.
+    """
+    import tiktoken
+
+    model = json.loads(Path(vocabulary).read_text(encoding="utf-8"))["model"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"]["".join(m)] for m in merges]
+    suffix = model["end_of_word_suffix"]
+    letters = byte_letters()
+    # The two special tokens are not of the model's merges.
+    known = {t: i for t, i in model["vocab"].items() if all(c in letters for c in t.removesuffix(suffix or "</w>"))}
+    singles = {i for t, i in known.items() if len(t.removesuffix(suffix or "</w>")) == 1}
+    if suffix != "</w>" or ids != sorted(ids) or len(singles) != 512 or max(singles) >= min(ids) or sys.byteorder != "little":
+        return None
+
+    def as_bytes(token: str) -> bytes:
+        letters_only = token.removesuffix(suffix)
+        return bytes(letters[c] for c in letters_only) + (END_OF_WORD if token.endswith(suffix) and token != letters_only else b"")
+
+    made = set(ids) | singles
+    ranks = {as_bytes(t): i for t, i in known.items() if i in made}
+    return tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
+class WordIds(RecentCache):
     """The ids, as bytes, of what stands between two blanks.
 
     The vocabulary's rules make every blank a boundary: white space separates words and is dropped, and
-    neither lower-casing nor composition looks across it.  So the ids of a text are those of its words in a row.
+    neither lower-casing nor composition looks across it.  So the ids of a text are those of its words in a row, and
+    many words can be encoded as one text and told apart by the token between them.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(WORD_BYTES)
         self.tokenizer = Tokenizer.from_file(vocabulary)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            coded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-            for word, code in zip(part, coded, strict=True):
-                self[word] = np.array(code.ids, "<u4").tobytes()
+        between = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
+        self.merge = _merges(vocabulary)
+
+    def weight(self, keys: list[bytes]) -> int:
+        return 200 * len(keys) + 3 * sum(map(len, keys))
+
+    def compute(self, keys: list[bytes]) -> list[bytes]:
+        merge, out, rest = self.merge, [], []
+        for key in keys:
+            # A word of lower-case letters in composed form is one piece, for which only the merges are left to do.
+            if merge is not None and (key.isalpha() or _plain(key)):
+                ids = merge(key + END_OF_WORD)
+                out.append(array("I", ids).tobytes())
+            else:
+                rest.append(key)
+                out.append(None)
+        if rest:
+            others = iter(self._encoded(rest))
+            out = [next(others) if ids is None else ids for ids in out]
+        return out
+
+    def _encoded(self, keys: list[bytes]) -> list[bytes]:
+        out: list[bytes] = []
+        for at in range(0, len(keys), WORDS_PER_CALL):
+            words = b"\n".join(keys[at : at + WORDS_PER_CALL]).decode("utf-8").split("\n")
+            if self.between is None or any(SEPARATOR in w for w in words):
+                coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+                out += [np.array(c.ids, "<u4").tobytes() for c in coded]
+                continue
+            joint = self.tokenizer.encode_batch_fast([f" {SEPARATOR} ".join(words)], add_special_tokens=False)[0].ids
+            ids = np.array(joint, "<u4")
+            ends = [*np.flatnonzero(ids == self.between).tolist(), len(ids)]
+            held = ids.tobytes()
+            out += [held[4 * begin : 4 * end] for begin, end in zip([0, *(e + 1 for e in ends)], ends, strict=False)]
+        return out
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        if len(self) > MAX_WORDS_KEPT:
-            self.clear()
-        split = [(t or "").encode("utf-8").split() for t in texts]
-        self.learn(set().union(*split) if split else set())
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        # A-Z are folded by the vocabulary anyway, and one mark behind a letter is a token of its own.
+        split = [_MARK.sub(rb"\1 \2 ", (t or "").encode("utf-8").lower()).split() for t in texts]
+        self.learn(split)
+        out = [b"".join(map(self.__getitem__, words)) for words in split]
+        self.forget()
+        return out
 
 
-#: Words whose ids one worker keeps between tasks.
-MAX_WORDS_KEPT = 1_000_000
 ROWS_AT_ONCE = 512
 
 

@@ -69,6 +69,13 @@ def split_of(divisor: int, held: int) -> Column:
     return remainder(F.col("doc_id").cast("string"), divisor) == held
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which a byte-level vocabulary writes bytes: printable ones stand for themselves, the rest from 256 on."""
+    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class RecentCache(dict):
     """Values computed once for each key and kept while they are used, in about `most` bytes.
 

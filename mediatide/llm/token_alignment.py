@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediatide.llm.common import RecentCache, prepare, store, table
+from mediatide.llm.common import RecentCache, byte_letters, prepare, store, table
 
 #: Frequent pairs whose counts every task holds: 16 bytes each.
 MOST_FREQUENT = 1 << 19
@@ -51,13 +51,6 @@ PER_CALL, LONG_WORD = 200, 400
 _DIVISION = re.compile(r"(?<=\S)(?= \S)")
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letters by which a byte-level vocabulary writes bytes: printable ones stand for themselves, the rest from 256 on."""
-    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Vocabularies:
     """Both tokenizers, the bytes of their ids, and the map from ids of A to the ids of B with the same bytes."""
 
@@ -66,7 +59,7 @@ class Vocabularies:
 
         self.a_path, self.b = a_path, SentencePieceProcessor(model_file=b_path)
         file = json.loads(Path(a_path).read_text(encoding="utf-8"))
-        letters = _byte_letters()
+        letters = byte_letters()
         vocabulary = {t["content"]: t["id"] for t in file["added_tokens"]} | file["model"]["vocab"]
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():

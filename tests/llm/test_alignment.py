@@ -9,6 +9,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from mediatide.llm import token_alignment
+from mediatide.llm.common import byte_letters
 from mediatide.llm.token_alignment import aligned, op12_token_alignment
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -18,7 +19,7 @@ def plain(rows):
     """doc_id and the digest columns of each row, in the rows' order."""
     a, b = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
     a.encode_special_tokens = True
-    letters = token_alignment._byte_letters()
+    letters = byte_letters()
     found, counts = [], Counter()
     for doc_id, text in rows:
         whole = (" " + (text or "")).encode()

@@ -188,3 +188,21 @@ def test_lines_above_the_limit_deplete_documents(spark):
     assert got == {**{i: (bool(i % 2), 80) for i in range(8)}, 8: (True, 0), 9: (True, 0)}
     texts = {r["doc_id"]: r["text"] for r in line_frequency.cleaned(df, max_documents=5).collect()}
     assert texts == {i: own(i) if i % 2 else "" for i in range(8)}
+
+
+def test_ids_of_words_are_those_of_whole_texts(small, monkeypatch):
+    """Words merged on their own, words encoded together, and a cache that forgets, against the tokenizer on whole texts."""
+    texts = [r["text"] for r in small.limit(120).collect()]
+    texts += [
+        None, "", "a \x1f b", "\x1f", "x\x1fy \x1fz", "é̈ ﬁ İstanbul ΣΑΣ ΟΔΟΣ. it's 'd12 3", "日本 🙂👩‍👩‍👧 <|endoftext|> <|startoftext|>",
+        "\x00 \x01", " ̈a b̈", "word. Word, word... word.,x don't. A.B. end.", "ẞ Straße ǅ ŉ K Å ﬃ", "x" * 5000 + " " + "Ab" * 900, "a  b\u00a0c\u2028d e\u0301",
+    ]
+    plain = bin_packing.WordIds(bin_packing.default_vocabulary()).tokenizer
+    wanted = [np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    known = bin_packing.WordIds(bin_packing.default_vocabulary())
+    assert known.merge is not None and known.between is not None
+    assert known.ids(texts) == wanted
+    known.most = 4000
+    assert [known.ids([t])[0] for t in texts] == wanted and known.held <= 2000 + 200 * 5000
+    monkeypatch.setattr(bin_packing, "_merges", lambda path: None)
+    assert bin_packing.WordIds(bin_packing.default_vocabulary()).ids(texts) == wanted
