@@ -7,10 +7,11 @@ has, for allowed chunk errors e_1..e_16 with sum(e_i + 1) = 26, some chunk i wit
 10 chunks allow one error (4 keys, one for each value left out), 6 allow none (1 key), 46 keys a document.
 
 Documents with the same set of shingles form one class and only classes are compared.  In every key the members
-are first compared with its most central one, which joins groups of near copies without listing their pairs.  Keys whose members then still
-belong to several components are chained into clusters, and in each cluster the members outside its largest component are compared with all
-of them, by an index of shingles in memory, in blocks; what comes out is one link for each two components that a document joins,
-never a row for each pair.  While a cluster has more such members than a block holds, one of them, chosen by hash, is first
+are first compared with its most central one, which joins groups of near copies without listing their pairs.  In keys whose members then still
+belong to several components all signatures meet in memory, and components with members within the threshold are chained into clusters;
+of the pairs only those come out that chain something new.  In each cluster the members outside its largest component are compared with all
+of them on full sets, by an index of shingles in memory, in blocks; what comes out is one link for each two components that a document joins,
+never a row for each pair.  While such members fill many blocks, one of them, chosen by hash, is first
 compared with the whole cluster, which takes one row a member and again joins what is near to it.
 A pair links when 100 * |a & b| >= 80 * |a | b| on the full sets.
 The query takes shingles of two words, the pipeline's stage of five.
@@ -63,8 +64,10 @@ class WordHashes(dict):
 MAX_WORDS_KEPT = 400_000
 SHINGLES_AT_ONCE = 500_000
 ROWS_PER_BUNDLE = 1_000
-#: Leads tried in a cluster before all that is left meets in blocks.
-MOST_LEADS = 12
+#: Members of a key whose signatures are compared in one unit, and rows of such units in a bundle.
+MEMBERS_AT_ONCE, MEMBERS_PER_BUNDLE = 4_096, 20_000
+#: Leads are tried in clusters whose strangers fill more than so many blocks, while a lead joins one in so many of those it meets.
+MANY_SHARES, LEAST_JOINED, MOST_LEADS = 4, 20, 12
 
 
 def shingles(text: str | None, words: WordHashes, length: int = 2) -> np.ndarray:
@@ -248,18 +251,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80, length: int = 2) -> Data
     named = members.select("k", "node").join(labels, "node", "left")
     named = store(named.select(F.bitwise_not("k").alias("key"), "node", F.coalesce("component", "node").alias("component")), "named")
 
-    # Keys whose members are of several components, chained into clusters of components.
-    ranges = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    ranges = store(ranges.select(F.bitwise_not("key").alias("k"), "low"), "ranges")
-    mixed = named.withColumn("k", F.bitwise_not("key")).join(ranges, "k")
-    chains = mixed.where("component <> low").select(F.col("component").alias("a"), F.col("low").alias("b")).distinct()
+    # Keys whose members are of several components: components with members within the threshold are chained into clusters.
+    ranges = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    ranges = store(ranges.where("low <> high").select(F.bitwise_not("key").alias("k"), "low", "n"), "ranges")
+    mixed = named.withColumn("k", F.bitwise_not("key")).join(ranges, "k").select("k", "node", "component", "low", "n")
+    chains = _chains(mixed, signatures)
     clusters = store(connected_components(chains), "clusters").select(F.col("node").alias("component"), F.col("component").alias("cluster"))
-    pool = mixed.select("node", "component").distinct().join(clusters, "component").join(classes.select("node", "n_shingles"), "node")
+    pool = named.select("node", "component").distinct().join(clusters, "component").join(classes.select("node", "n_shingles"), "node")
     pool = store(pool.select("node", "cluster", "component", "n_shingles"), "pool")
     sets = sets_of(pool.select("node"))
     cluster_links = _cluster_links(pool, sets, percent)
     components = store(connected_components(links.unionByName(cluster_links)), "components")
-    discard(members, named, ranges, stars, links, labels, pool, sets, cluster_links)
+    discard(members, named, ranges, chains, stars, links, labels, pool, sets, cluster_links)
 
     nodes = store(classes.select("f1", "f2", "node").join(components, "node", "left")
                   .select("f1", "f2", F.coalesce("component", "node").alias("component")), "nodes")
@@ -279,6 +282,70 @@ def near_duplicates(docs: DataFrame, percent: int = 80, length: int = 2) -> Data
     )
 
 
+def _near(frame: pa.Table) -> pa.Table:
+    """Of a bundle of (key, block, share): pairs of components with members within the threshold, as few as join them all.
+
+    role: 0 is only visited, 1 visits as well, 2 only visits.
+    """
+    order = np.lexsort([frame.column(c).to_numpy() for c in ("node", "share", "block", "k")])
+    frame = frame.take(pa.array(order)).combine_chunks()
+    key, block, share, part, role = (frame.column(c).to_numpy() for c in ("k", "block", "share", "component", "role"))
+    sig = frame.column("sig").chunk(0).flatten().to_numpy().reshape(-1, CHUNKS) if len(frame) else np.empty((0, CHUNKS), np.int64)
+    starts = np.flatnonzero((np.diff(key, prepend=key[:1] - 1) != 0) | (np.diff(block, prepend=-1) != 0) | (np.diff(share, prepend=-1) != 0))
+    ends = np.append(starts[1:], len(key))
+    a, b = [], []
+
+    def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(((x ^ y) + ALL_SYMBOLS) & TOP_BITS).sum(axis=-1)
+
+    # Keys of two members, most of all, at once.
+    pairs = starts[ends - starts == 2]
+    hit = pairs[(differing(sig[pairs], sig[pairs + 1]) <= MAX_ERRORS) & (part[pairs] != part[pairs + 1])]
+    a.append(part[hit])
+    b.append(part[hit + 1])
+    for begin, end in zip(starts.tolist(), ends.tolist(), strict=True):
+        if end - begin < 3 and (end - begin < 2 or role[begin] < 2 and role[begin + 1] < 2):
+            continue
+        hosts = begin + np.flatnonzero(role[begin:end] < 2)
+        label = part[hosts].copy()
+        theirs = sig[hosts]
+        for visitor in begin + np.flatnonzero(role[begin:end] > 0):
+            near = np.unique(label[differing(theirs, sig[visitor]) <= MAX_ERRORS])
+            own = part[visitor]
+            mine = label[np.searchsorted(hosts, visitor)] if role[visitor] == 1 else own
+            near = near[near != mine]
+            if len(near):
+                a.append(np.full(len(near), own))
+                b.append(near)
+                # What has been joined here need not be joined again.
+                label[np.isin(label, near)] = mine
+    return pa.table({"a": np.concatenate(a).astype(np.int64), "b": np.concatenate(b).astype(np.int64)})
+
+
+def _chains(mixed: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs (a, b) of components that are to be in one cluster.
+
+    mixed: k, node, component, low (a component of the key, whose members need not visit), n (members of the key).
+    A key with more than MEMBERS_AT_ONCE members is cut into blocks, each of which meets each block of its visitors.
+    """
+    zero = F.lit(0).cast("long")
+    stranger = F.col("component") != F.col("low")
+    small = mixed.where(F.col("n") <= MEMBERS_AT_ONCE).select(
+        "k", "node", "component", zero.alias("block"), zero.alias("share"), stranger.cast("int").alias("role")
+    )
+    blocks = F.ceil(F.col("n") / MEMBERS_AT_ONCE).cast("long")
+    large = mixed.where(F.col("n") > MEMBERS_AT_ONCE).withColumn("own", F.pmod(F.xxhash64("node"), blocks))
+    large = large.withColumn("other", F.explode(F.sequence(zero, blocks - 1)))
+    hosts = large.select("k", "node", "component", F.col("own").alias("block"), F.col("other").alias("share"), F.lit(0).alias("role"))
+    visitors = large.where(stranger).select("k", "node", "component", F.col("other").alias("block"), F.col("own").alias("share"), F.lit(2).alias("role"))
+    units = store(small.unionByName(hosts).unionByName(visitors), "key_members")
+    bundles = 1 + units.count() // MEMBERS_PER_BUNDLE
+    bundled = units.withColumn("bundle", F.pmod(F.xxhash64("k", "block", "share"), F.lit(bundles))).join(signatures, "node")
+    found = store(bundled.groupBy("bundle").applyInArrow(_near, "a long, b long"), "chains")
+    discard(units)
+    return found
+
+
 def _meetings(percent: int):
     """Of a bundle of (cluster, block, share): for each visitor one link to each other component that it links to."""
 
@@ -334,10 +401,10 @@ def _cluster_links(pool: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     held = pool
     while True:
         cuts = store(_cuts(held), "cuts")
-        # Another lead helps while the strangers of a cluster fill more than one block.
-        if rounds == MOST_LEADS or not cuts.where("shares > 1").limit(1).count():
+        crowded = cuts.where(F.col("shares") > MANY_SHARES)
+        if rounds == MOST_LEADS or not crowded.limit(1).count():
             break
-        keyed = held.withColumn("o", F.bitwise_not("cluster")).join(cuts.where("shares > 1"), "o")
+        keyed = held.withColumn("o", F.bitwise_not("cluster")).join(crowded, "o")
         lead = keyed.where("component <> home").groupBy("o").agg(F.min(F.struct(F.xxhash64("node", F.lit(rounds)).alias("h"), "node")).alias("lead"))
         lead = lead.select("o", F.col("lead.node").alias("lead")).join(sets.select(F.col("node").alias("lead"), F.col("hashes").alias("theirs")), "lead")
         lead = store(lead, "leads")
@@ -346,6 +413,8 @@ def _cluster_links(pool: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs = met.select("node", "lead", (F.size("hashes") + F.size("theirs")).alias("sizes"), common.alias("common"))
         near = store(pairs.where(F.expr(f"100 * common >= {percent} * (sizes - common)")).select(F.col("node").alias("a"), F.col("lead").alias("b")), "near")
         peeled.append(near)
+        if near.count() * LEAST_JOINED < keyed.count():
+            rounds = MOST_LEADS - 1
         # Components that a lead has joined are one from now on.
         part = held.select("node", "component")
         joined = near.join(part.select(F.col("node").alias("a"), F.col("component").alias("p")), "a").join(

@@ -96,6 +96,9 @@ def test_clusters_larger_than_a_block(spark, monkeypatch, leads):
     """Chains of documents, each near to the next only, in more blocks than one, with and without leads tried before."""
     monkeypatch.setattr(hamming_dedup, "SHINGLES_AT_ONCE", 1_500)
     monkeypatch.setattr(hamming_dedup, "MOST_LEADS", leads)
+    monkeypatch.setattr(hamming_dedup, "MANY_SHARES", 1)
+    monkeypatch.setattr(hamming_dedup, "LEAST_JOINED", 1000)
+    monkeypatch.setattr(hamming_dedup, "MEMBERS_AT_ONCE", 7)
     rng = random.Random(6)
     rows = []
     for chain in range(3):
