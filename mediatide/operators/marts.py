@@ -25,18 +25,20 @@ def _campaign_days(staged: DataFrame, totals: tuple[str, ...]) -> DataFrame:
     """Totals per campaign and day, with the last attribution window in byte order.
 
     A maximum of text cannot live in a hash aggregation's buffer; Spark would sort all rows
-    before combining any.  So the window is first a grouping key, which hashes, and its
-    maximum is taken over the few rows that are left.
+    before combining any.  So a window is aggregated as its place among all windows in order, a number, and
+    decoded afterwards: one aggregation, one shuffle.  The list of windows is a subquery over that one column, whose values
+    are made distinct in every task first; it has as many entries as there are different windows, a few for each platform.
     """
     sums = [(money_sum(F.col(n)) if n in _MONEY else F.sum(n)).alias(n) for n in totals]
-    window = F.max("attribution_window").alias("attribution_window")
-    return (
-        staged.groupBy(*_CAMPAIGN_DAY, "attribution_window")
-        .agg(*sums)
-        .groupBy(*_CAMPAIGN_DAY)
-        .agg(*sums, window)
-        .withColumnRenamed("conversion_value_usd", "revenue_usd")
-    )
+    window = F.col("attribution_window")
+    different = staged.select("attribution_window").distinct()
+    windows = different.select(F.sort_array(F.collect_list(window)).alias("windows")).scalar()
+    # Places start at 1; a NULL window has none, and the maximum of none is NULL.
+    place = F.when(window.isNotNull(), F.array_position(windows, window))
+    days = staged.groupBy(*_CAMPAIGN_DAY).agg(*sums, F.max(place).alias("_place"))
+    decoded = F.when(F.col("_place").isNotNull(), F.element_at(windows, F.col("_place").cast("int")))
+    out = days.withColumn("attribution_window", decoded).drop("_place")
+    return out.withColumnRenamed("conversion_value_usd", "revenue_usd")
 
 
 def channel_performance_daily(staged: DataFrame) -> DataFrame:

@@ -62,6 +62,20 @@ def test_all_rows_meet_hash_aggregations_only(spark, inputs, cdm_path):
         assert kinds[-2:] == ["Hash", "Hash"], plan(df)
 
 
+def test_the_flagship_mart_shuffles_once(spark, inputs, tmp_path):
+    """One hash aggregation of the rows; the list of windows is a subquery over one column."""
+    path = str(tmp_path / "paid")
+    tables.save_table(inputs.cdm_paid, path, "date")
+    staged = staging.stg_paid_media(tables.read_table(spark, path))
+    for mart in (marts.channel_performance_daily(staged), marts.channel_performance_daily_old(staged)):
+        text = plan(mart)
+        assert len(re.findall(r"Exchange hashpartitioning\(date", text)) == 1
+        assert "SortAggregate" not in text and "Sort [" not in text
+        assert text.count("HashAggregate(keys=[date") == 2
+        scans = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+        assert any(scan.count(":") <= 3 and "attribution_window" in scan for scan in scans), scans
+
+
 def test_dates_prune_partitions_and_columns_are_pruned(spark, cdm_path):
     staged = staging.stg_organic(tables.read_table(spark, cdm_path))
     text = plan(staged.where("date >= DATE '1998-02-01'").groupBy("platform").sum("outbound_clicks"))
