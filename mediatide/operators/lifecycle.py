@@ -218,30 +218,40 @@ def subscription_months(events: DataFrame) -> DataFrame:
     )
 
 
+def user_months(events: DataFrame) -> DataFrame:
+    """user, month, days: the days of the month on which the user was active, as bits of one number (the first day is bit 0).
+
+    One number a user and month combines before the shuffle, whatever the number of events.
+    """
+    day = F.col("event_date")
+    rows = events.select(
+        _user().alias("user"), month_start(day).alias("month"), F.expr("shiftleft(1, dayofmonth(event_date) - 1)").alias("bit")
+    ).dropna()
+    return rows.groupBy("user", "month").agg(F.bit_or("bit").alias("days"))
+
+
 def active_users(events: DataFrame) -> DataFrame:
     """Daily and monthly active users and their ratio, per day."""
-    days = (
-        events.select(_user().alias("user"), F.col("event_date").alias("date")).dropna().distinct()
+    on_day = [F.count_if(F.col("days").bitwiseAND(F.lit(1 << d)) != 0) for d in range(31)]
+    monthly = user_months(events).groupBy("month").agg(F.count("*").alias("mau"), F.array(*on_day).alias("counts"))
+    daily = monthly.select("mau", F.posexplode("counts").alias("day", "dau"), "month").where("dau > 0")
+    return daily.select(
+        F.date_add("month", F.col("day")).alias("date"), "dau", "mau", ratio(F.col("dau"), F.col("mau")).alias("dau_over_mau")
     )
-    daily = days.groupBy("date").agg(F.count("*").alias("dau"))
-    monthly = _monthly_users(days)
-    joined = daily.withColumn("month", month_start(F.col("date"))).join(monthly, "month")
-    return joined.select("date", "dau", "mau", ratio(F.col("dau"), F.col("mau")).alias("dau_over_mau"))
 
 
-def _monthly_users(days: DataFrame) -> DataFrame:
-    pairs = days.select("user", month_start(F.col("date")).alias("month")).distinct()
+def _monthly_users(events: DataFrame) -> DataFrame:
+    pairs = events.select(_user().alias("user"), month_start(F.col("event_date")).alias("month")).dropna().distinct()
     return pairs.groupBy("month").agg(F.count("*").alias("mau"))
 
 
 def viral_coefficient(events: DataFrame) -> DataFrame:
     """Invitations sent per active user, by month."""
     c = F.col
-    days = events.select(_user().alias("user"), c("event_date").alias("date")).dropna().distinct()
     invites = (
         events.where((c("event_name") == INVITED) & c("event_date").isNotNull())
         .groupBy(month_start(c("event_date")).alias("month"))
         .agg(F.count("*").alias("invites"))
     )
-    joined = _monthly_users(days).join(invites, "month", "left").fillna(0, ["invites"])
+    joined = _monthly_users(events).join(invites, "month", "left").fillna(0, ["invites"])
     return joined.withColumn("viral_coefficient", ratio(c("invites"), c("mau")))

@@ -76,6 +76,12 @@ def test_the_flagship_mart_shuffles_once(spark, inputs, tmp_path):
         assert any(scan.count(":") <= 3 and "attribution_window" in scan for scan in scans), scans
 
 
+def test_active_users_shuffle_once_by_user(inputs):
+    text = plan(lifecycle.active_users(inputs.recent_events))
+    assert text.count("Exchange hashpartitioning(user") == 1 and text.count("Exchange hashpartitioning") == 2
+    assert text.count("HashAggregate(keys=[user") == 2 and "SortAggregate" not in text
+
+
 def test_dates_prune_partitions_and_columns_are_pruned(spark, cdm_path):
     staged = staging.stg_organic(tables.read_table(spark, cdm_path))
     text = plan(staged.where("date >= DATE '1998-02-01'").groupBy("platform").sum("outbound_clicks"))
