@@ -24,6 +24,7 @@ def _report_sql(table: str) -> str:
         n = f"COUNT(*) FILTER ({condition})"
         add(check, severity, f"{n} = 0", n, having)
 
+    # Names of the checks, the columns they look at, and their bounds.
     add("required_columns", "ERROR", "COUNT(*) >= 0")
     add("date_dtype", "ERROR", "COUNT(*) >= 0")
     for c in "impressions clicks cost_usd installs cpm ctr cpi roas".split():

@@ -72,42 +72,39 @@ class _Builder:
         self.counters[key] = column
         return F.col(key)
 
-    def fixed(self, name: str, severity: str, passed: bool, good: str, bad: str) -> None:
-        message = F.lit(good if passed else bad)
-        self.checks.append(_Check(name, severity, F.lit(passed), F.lit(0), message))
+    def fixed(self, name: str, severity: str, passed: bool, rule: str, found: str) -> None:
+        self.checks.append(_Check(name, severity, F.lit(passed), F.lit(0), F.lit(f"{rule}: {found}")))
 
-    def none_of(self, name: str, severity: str, bad_row: Column, good: str, bad: str, shown=None) -> None:
-        """Passes when no row matches `bad_row`."""
+    def none_of(self, name: str, severity: str, bad_row: Column, rule: str, shown=None) -> None:
+        """Passes when no row matches `bad_row`; the message is the rule and how many rows are against it."""
         n = self.counter(f"n_{name}", F.count_if(bad_row))
-        message = F.when(n == 0, F.lit(good)).otherwise(
-            F.concat(F.format_number(n, 0), F.lit(f" {bad}"))
-        )
+        message = F.concat(F.lit(f"{rule}: "), F.format_number(n, 0), F.lit(" rows against it"))
         self.checks.append(_Check(name, severity, n == 0, n, message, shown))
 
 
 def _schema_checks(b: _Builder) -> None:
     missing = [c for c in REQUIRED if not b.has(c)]
-    b.fixed("required_columns", ERROR, not missing, "all required columns present", f"missing: {missing}")
+    b.fixed("required_columns", ERROR, not missing, "columns that must be there", f"{len(missing)} not found {missing}")
     if b.has("date"):
         day_like = (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
         kind = b.types["date"]
-        b.fixed("date_dtype", ERROR, isinstance(kind, day_like), "date holds days", f"date is {kind.simpleString()}")
+        b.fixed("date_dtype", ERROR, isinstance(kind, day_like), "type of date", kind.simpleString())
     for name in filter(b.has, NUMERIC):
         kind = b.types[name]
         is_number = isinstance(kind, T.NumericType)
-        b.fixed(f"dtype_{name}", ERROR, is_number, f"{name} is numeric", f"{name} is {kind.simpleString()}")
+        b.fixed(f"dtype_{name}", ERROR, is_number, f"type of {name}", kind.simpleString())
 
 
 def _null_checks(b: _Builder, total: Column) -> None:
     for name in filter(b.has, NEVER_NULL):
-        b.none_of(f"no_nulls_{name}", ERROR, b.value(name).isNull(), f"{name}: no nulls", f"null values in {name}")
+        b.none_of(f"no_nulls_{name}", ERROR, b.value(name).isNull(), f"{name} IS NOT NULL")
     for name in filter(b.has, RARELY_NULL):
         n = b.counter(f"n_low_nulls_{name}", F.count_if(b.value(name).isNull()))
         share = F.try_divide(n, total)
         passed = F.coalesce(share < NULL_SHARE_BELOW, F.lit(False))
         percent = F.format_number(F.coalesce(share, F.lit(0.0)) * 100, 1)
         b.checks.append(
-            _Check(f"low_nulls_{name}", WARNING, passed, n, F.concat(F.lit(f"{name}: "), percent, F.lit("% null")))
+            _Check(f"low_nulls_{name}", WARNING, passed, n, F.concat(F.lit(f"{name} IS NOT NULL: "), percent, F.lit(" percent of the rows against it")))
         )
 
 
@@ -119,30 +116,21 @@ def _range_checks(b: _Builder) -> None:
     for name, (low, high, severity) in RANGES.items():
         if _is_number(b, name):
             outside = (b.value(name) < low) | (b.value(name) > high)
-            b.none_of(
-                f"range_{name}", severity, outside,
-                f"{name}: all values in [{low}, {high}]", f"rows of {name} outside [{low}, {high}]",
-            )
+            b.none_of(f"range_{name}", severity, outside, f"{name} BETWEEN {low} AND {high}")
     if _is_number(b, "cost_usd", "impressions"):
         unpaid = (b.value("cost_usd") == 0) & (F.col("impressions") > 0)
-        b.none_of("cost_vs_impressions", WARNING, unpaid, "no impressions without spend", "rows have impressions but no spend")
+        b.none_of("cost_vs_impressions", WARNING, unpaid, "cost_usd > 0 OR impressions = 0")
 
 
 def _logic_checks(b: _Builder) -> None:
     c = F.col
     if _is_number(b, "clicks", "impressions"):
-        b.none_of(
-            "clicks_le_impressions", ERROR, c("clicks") > c("impressions"),
-            "clicks never exceed impressions", "rows with more clicks than impressions",
-        )
+        b.none_of("clicks_le_impressions", ERROR, c("clicks") > c("impressions"), "clicks <= impressions")
     if _is_number(b, "installs", "clicks"):
-        b.none_of(
-            "installs_le_clicks", WARNING, c("installs") > c("clicks"),
-            "installs never exceed clicks", "rows with more installs than clicks",
-        )
+        b.none_of("installs_le_clicks", WARNING, c("installs") > c("clicks"), "installs <= clicks")
     if _is_number(b, "cpi", "installs", "cost_usd"):
         lost = (c("installs") > 0) & (b.value("cost_usd") > 0) & (b.value("cpi") == 0)
-        b.none_of("cpi_consistency", WARNING, lost, "cpi is consistent", "rows with installs and spend but no cpi")
+        b.none_of("cpi_consistency", WARNING, lost, "cpi > 0 OR installs = 0 OR cost_usd = 0")
 
 
 def _platform_checks(b: _Builder) -> None:
@@ -150,31 +138,26 @@ def _platform_checks(b: _Builder) -> None:
     if not b.has("platform"):
         return
     if _is_number(b, "roas"):
-        b.none_of(
-            "reddit_no_roas", ERROR, (c("platform") == "reddit") & (b.value("roas") > 0),
-            "reddit has no roas", "reddit rows with a roas",
-        )
+        bad = (c("platform") == "reddit") & (b.value("roas") > 0)
+        b.none_of("reddit_no_roas", ERROR, bad, "roas = 0 WHERE platform = reddit")
     if b.has("attribution_window"):
         for platform, window in WINDOWS.items():
             rows = F.col(f"rows_{platform}")
             wrong = (c("platform") == platform) & ~c("attribution_window").eqNullSafe(F.lit(window))
-            b.none_of(
-                f"attribution_window_{platform}", ERROR, wrong,
-                f"{platform}: window is {window}", f"{platform} rows with another window",
-                shown=rows > 0,
-            )
+            rule = f"attribution_window = {window} WHERE platform = {platform}"
+            b.none_of(f"attribution_window_{platform}", ERROR, wrong, rule, shown=rows > 0)
 
 
 def _coverage_checks(b: _Builder, total: Column) -> None:
     if not b.has("platform"):
         return
     absent = F.concat_ws(", ", *(F.when(F.col(f"rows_{p}") == 0, F.lit(p)) for p in WINDOWS))
-    message = F.when(absent == "", F.lit("all platforms present")).otherwise(F.concat(F.lit("missing: "), absent))
+    message = F.concat(F.lit("platforms without a row: "), F.when(absent == "", F.lit("none")).otherwise(absent))
     b.checks.append(_Check("all_platforms_present", WARNING, absent == "", F.lit(0), message))
     if b.has("date"):
         days = b.counter("n_days", F.count_distinct("date"))
         needed = days * (ROWS_PER_PLATFORM_DAY * len(WINDOWS))
-        message = F.concat(total.cast("string"), F.lit(" rows, at least "), needed.cast("string"), F.lit(" expected"))
+        message = F.concat(F.lit("rows >= "), needed.cast("string"), F.lit(": "), total.cast("string"))
         b.checks.append(_Check("minimum_row_count", WARNING, total >= needed, F.lit(0), message))
 
 

@@ -1,6 +1,7 @@
 """Staging models over the CDM tables, and the older set of the same models.
 
 Filters test the stored columns as they are, so they reach the Parquet scan.
+The names and the order of each model's columns are fixed values.
 """
 
 from __future__ import annotations

@@ -101,6 +101,7 @@ IN_APP_EVENTS_REPORT = _struct(
 )
 
 # --- common data model --------------------------------------------------------------------
+# Names, order and types of the tables' columns.
 
 CDM_PAID_MEDIA = _struct(
     "date date NOT NULL, platform string NOT NULL, channel_type string, campaign_id string, "
