@@ -59,10 +59,15 @@ def open_envelopes(responses: DataFrame, feed: str) -> DataFrame:
     return responses.select(*carried, F.inline(envelope.rows))
 
 
+#: No JSON text holds these bytes, in whatever encoding: one of the zeros would be a bare U+0000.
+_NEVER = "\x1e" + "\0" * 8 + "\x1e"
+
+
 def _json(spark: SparkSession, path: str | list[str], schema: T.StructType, per_line: bool) -> DataFrame:
     # A damaged file must stop the run: read leniently it would just have no rows.
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
-    return reader.option("multiLine", not per_line).json(path)
+    # A whole file is read as one line.  With `multiLine` Spark opens the file anew for every number that is wanted as text.
+    return (reader if per_line else reader.option("lineSep", _NEVER)).json(path)
 
 
 def read_envelopes(
@@ -71,7 +76,7 @@ def read_envelopes(
     """Rows of landed API responses.
 
     By default a file is one response.  Such a file is read by one task, so a file should
-    hold one page or one day; `per_line` reads one response per line, which splits.
+    hold one page or one day; beyond 2 GB it stops the run.  `per_line` reads one response per line, which splits.
     """
     return open_envelopes(_json(spark, path, ENVELOPES[feed].outer(), per_line), feed)
 

@@ -2,7 +2,10 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from checks import catalog_planted
+from checks.registry import Inputs
 from mediatide import schemas
 from mediatide.operators import attribution, organic, paid, staging
 from mediatide.operators.fields import RunStamp
@@ -201,3 +204,35 @@ def test_combined_posts_fill_missing_columns(spark):
     part = organic.instagram_posts(spark.createDataFrame([("m",)], "media_id string")).drop("profile_visits")
     combined = organic.combine_posts([part])
     assert combined.columns == schemas.CDM_ORGANIC.names and combined.first()["profile_visits"] is None
+
+
+def test_whole_files_are_read_once(spark, tmp_path):
+    """Numbers wanted as text come as they are written, and the file is not opened again for each of them."""
+    row = {"stat_time_day": "2024-10-01", "ad_id": "a", "impressions": 10, "clicks": 1.50, "likes": 3}
+    path = tmp_path / "page.json"
+    path.write_text(json.dumps({"_meta": {"source": "api"}, "data": {"list": [row] * 2000}}, indent=1))
+
+    def read_bytes():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = read_bytes()
+    got = landing.read_envelopes(spark, str(path), "tiktok_ads").groupBy("impressions", "clicks", "likes").count().collect()
+    assert [tuple(r) for r in got] == [("10", "1.5", "3", 2000)]
+    assert read_bytes() - before < 10 * path.stat().st_size
+    (tmp_path / "zeros.json").write_bytes(bytes(4096))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_envelopes(spark, str(tmp_path / "zeros.json"), "tiktok_ads").collect()
+    for encoding in ("utf-16", "utf-32"):
+        (tmp_path / encoding).write_text(path.read_text(), encoding=encoding)
+        assert landing.read_envelopes(spark, str(tmp_path / encoding), "tiktok_ads").count() == 2000
+
+
+def test_pages_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(catalog_planted, "PAGE_ROWS", 10)
+    rows = spark.range(1000).selectExpr("'2024-10-01' AS stat_time_day", "CAST(id AS STRING) AS ad_id")
+    inputs = Inputs(spark, "")
+    for per_line in (True, False):
+        got = catalog_planted._pages(inputs, "tiktok_ads", rows, per_line)
+        assert got.count() == got.select("ad_id").distinct().count() == 1000
+        if not per_line:
+            assert got.select(F.input_file_name()).distinct().count() > 60
