@@ -236,3 +236,31 @@ def test_repeated_text_scores_better_than_the_base(spark):
     rows = [(i, " ".join(rng.choice(vocabulary[:150] if i % 2 else vocabulary[150:]) for _ in range(60))) for i in range(400)]
     out = context_mixing.score(spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").agg(F.sum("score"), F.sum("base_score")).head()
     assert out[0] > out[1]
+
+
+def test_decisions_are_a_distribution():
+    """Over being unknown and all cells of known tokens, in every kind, also in those without a training token."""
+    rng = np.random.default_rng(4)
+    kind, cell = rng.integers(0, 5, 900), rng.integers(0, context_mixing.CELLS, 900)
+    n = rng.integers(1, 40, 900)
+    tree = context_mixing.Tree.of(kind, cell, n, np.ones(900, np.int64), (n == 1).astype(np.int64))
+    assert tree.nodes[1, 1] == n.sum() and (tree.nodes[2:, 1] == np.bincount(kind, n, context_mixing.KINDS)).all()
+    mixer = context_mixing.train_decisions(tree, kind, cell, n, n)
+    decided = context_mixing.Decided.of(tree, mixer)
+    assert 10**decided.unknown + (10 ** decided.cells.astype(float)).sum(axis=1) == pytest.approx(1, rel=1e-4)
+    assert decided.sizes.sum() == n.sum()
+
+
+def test_known_tokens_are_coded_by_the_mixer(spark, monkeypatch):
+    """Without what the mixer says, documents of known tokens alone have other scores; counts and base scores stay."""
+    words = [f"w{i}" for i in range(50)]
+    rows = [(i, " ".join(words[(i * k) % 50] for k in range(1, 30))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    mixed = [tuple(r) for r in context_mixing.score(df).where("n_known = n_tokens").select(*asked).orderBy("doc_id").collect()]
+    plain = context_mixing.Mixer.predict
+    monkeypatch.setattr(context_mixing.Mixer, "predict", lambda *a: (np.full(a[2].shape[1], 0.5), plain(*a)[1]))
+    even = [tuple(r) for r in context_mixing.score(df).where("n_known = n_tokens").select(*asked).orderBy("doc_id").collect()]
+    assert len(mixed) > 100 and [r[:4] for r in mixed] == [r[:4] for r in even]
+    assert [r[4] for r in mixed] == pytest.approx([r[4] for r in even])
+    assert sum(r[5] for r in mixed) > sum(r[5] for r in even) + 100
