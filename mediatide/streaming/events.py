@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mediatide.operators.attribution import in_app_events
 from mediatide.operators.fields import RunStamp
-from mediatide.sources.files import Folder, finish, fresh_inside, partition_value
+from mediatide.sources.files import Folder, finish, fresh_inside
 from mediatide.sources.tables import append_once, laid_out
 
 REPEAT_WITHIN = "1 day"
@@ -60,7 +60,7 @@ def cleaned_events(raw: DataFrame, id_column: str, stamp: RunStamp | None = None
 def merged(events: DataFrame, path: str, load: str) -> Iterator[DataFrame]:
     """The events, each `_event_id` of a day once, without those that the log holds from other loads.
 
-    The batch is written aside by day, so it is evaluated once, and only the ids of its own days are read from the log.  Events
+    The batch is written aside, so it is evaluated once, and only the ids of its own days are read from the log.  Events
     without an id repeat nothing.  A table without the column `_event_id` is left as it is.
     """
     spark, aside = events.sparkSession, fresh_inside(path)
@@ -69,13 +69,14 @@ def merged(events: DataFrame, path: str, load: str) -> Iterator[DataFrame]:
         return
     finish(spark, path)
     try:
-        events.write.partitionBy("event_date").parquet(aside)
-        days = [partition_value(p) for p in Folder(spark, aside).partitions(1)]
-        rows = spark.read.schema(events.schema).parquet(aside).select(*events.columns)
+        # Not by day: every task would write a file for every day.
+        events.write.parquet(aside)
+        rows = spark.read.schema(events.schema).parquet(aside)
         named = rows.where(F.col("_event_id").isNotNull()).dropDuplicates(["_event_id", "event_date"])
         if Folder(spark, path).partitions(1):
             log = spark.read.schema("_event_id string, event_date date, _load string").parquet(path)
-            of_days = F.col("event_date").isin(*(F.lit(d).cast("date") for d in days if d))
+            days = [r[0] for r in rows.select("event_date").distinct().toLocalIterator()]
+            of_days = F.col("event_date").isin(*(F.lit(d) for d in days if d))
             if None in days:
                 of_days = of_days | F.col("event_date").isNull()
             known = log.where(of_days & (F.col("_load") != load) & F.col("_event_id").isNotNull())
