@@ -104,15 +104,26 @@ def fingerprints(cdm: dict[str, DataFrame]) -> DataFrame:
     def of(name: str, df: DataFrame) -> DataFrame:
         content = [c for c in df.columns if c not in AUDIT_COLUMNS]
         month = F.trunc(F.col(PARTITION_COLUMN[name]), "month").alias("month")
-        hashed = F.xxhash64(*content).cast("decimal(20,0)")
-        other = F.xxhash64(F.lit(1), *content).cast("decimal(20,0)")
-        return df.groupBy(month).agg(
-            F.count("*").alias("rows"), F.sum(hashed).cast("string").alias("hash"), F.sum(other).cast("string").alias("other")
-        ).select(F.lit(name).alias("table"), "month", "rows", "hash", "other")
+        hashes = df.select(month, F.xxhash64(*content).alias("hash"), F.xxhash64(F.lit(1), *content).alias("other"))
+        sums = [_sum_parts(h) for h in ("hash", "other")]
+        found = hashes.groupBy("month").agg(F.count("*").alias("rows"), *(s for parts in sums for s in parts))
+        return found.select(F.lit(name).alias("table"), "month", "rows", *(_exact_sum(h) for h in ("hash", "other")))
 
     return reduce(DataFrame.unionByName, (of(n, df) for n, df in cdm.items()))
 
 
+def _sum_parts(column: str) -> list[Column]:
+    """Sums of a whole number's four 16-bit parts, the highest with its sign: no sum passes 64 bits below 2^47 rows."""
+    parts = [F.shiftright(column, 16 * k) for k in range(4)]
+    return [F.sum(p if k == 3 else p.bitwiseAND(0xFFFF)).alias(f"{column}_{k}") for k, p in enumerate(parts)]
+
+
+def _exact_sum(column: str) -> Column:
+    """The sum itself as text, from the sums of its parts."""
+    parts = (F.col(f"{column}_{k}").cast("decimal(20,0)") * F.lit(1 << 16 * k).cast("decimal(15,0)") for k in range(4))
+    return reduce(lambda a, b: a + b, parts).cast("decimal(38,0)").cast("string").alias(column)
+
+
 def _own(model: str, models: dict[str, Model]) -> set[str]:
     """The CDM tables below a model."""
     return {c for i in models[model].inputs for c in (_own(i, models) if i in models else {i})}
