@@ -271,7 +271,7 @@ def table_as_select(i: Inputs) -> DataFrame:
 
 def _land_ads(i: Inputs, path: str) -> None:
     for source, day in (("tiktok_ads", "stat_time_day"), ("meta_ads", "date_start"), ("reddit_ads", "date")):
-        landing.land_rows(i.stored(i.raw(f"raw_{source}"), source), path, source, day, STAMP)
+        landing.land_rows(i.raw(f"raw_{source}"), path, source, day, STAMP)
 
 
 def _job(i: Inputs, path: str, days: tuple[dt.date, dt.date] = WHOLE_RANGE) -> jobs.Job:

@@ -5,6 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import catalog_storage
+from checks.registry import Inputs
 from mediatide import schemas
 from mediatide.operators.fields import RunStamp
 from mediatide.plans import jobs, models
@@ -12,6 +14,7 @@ from mediatide.session import scratch_path, shared_dir
 from mediatide.sources import files, landing, tables
 from mediatide.streaming import events as event_log
 
+SMALL = "/root/testdata/sf0.001"
 DAY = dt.date
 STAMP = RunStamp("2025-01-02T00:00:00+00:00", "9")
 SCHEMA = schemas._struct("date date NOT NULL, k string, v bigint")
@@ -362,3 +365,12 @@ def test_fingerprints_add_whole_numbers(spark):
     assert (row["rows"], row["hash"], row["other"]) == (3000, *(str(sum(h[k] for h in hashes)) for k in (0, 1)))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "sum(cast" not in plan
+
+
+def test_ads_are_landed_without_a_copy_beside(spark, monkeypatch):
+    landed = []
+    monkeypatch.setattr(landing, "land_rows", lambda rows, path, source, *rest: landed.append((source, rows.count())))
+    monkeypatch.setattr(Inputs, "stored", lambda *a: pytest.fail("written twice"))
+    inputs = Inputs(spark, SMALL)
+    catalog_storage._land_ads(inputs, "nowhere")
+    assert [s for s, _ in landed] == ["tiktok_ads", "meta_ads", "reddit_ads"] and sum(n for _, n in landed) == inputs.raw("raw_ads").count()
