@@ -117,7 +117,7 @@ def run_beside_an_unreadable_delivery(i: Inputs) -> DataFrame:
     path = i.scratch("landing")
     later = dt.date(1997, 1, 1)
     for source, day in (("tiktok_ads", "stat_time_day"), ("meta_ads", "date_start"), ("reddit_ads", "date")):
-        rows = i.stored(i.raw(f"raw_{source}"), source)
+        rows = i.raw(f"raw_{source}")
         readable = F.substring(F.col(day).cast("string"), 1, 10) >= str(later)
         landing.land_rows(rows.where(readable), path, source, day, STAMP, "newer")
         old = rows.where(~readable)
