@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from checks import catalog_storage
+from checks import catalog_loads, catalog_storage
 from checks.registry import Inputs
 from mediatide import schemas
 from mediatide.operators.fields import RunStamp
@@ -374,3 +374,15 @@ def test_ads_are_landed_without_a_copy_beside(spark, monkeypatch):
     inputs = Inputs(spark, SMALL)
     catalog_storage._land_ads(inputs, "nowhere")
     assert [s for s, _ in landed] == ["tiktok_ads", "meta_ads", "reddit_ads"] and sum(n for _, n in landed) == inputs.raw("raw_ads").count()
+
+
+def test_older_and_newer_ads_are_landed_without_a_copy_beside(spark, monkeypatch):
+    landed = []
+    monkeypatch.setattr(landing, "land_rows", lambda rows, path, source, *rest: landed.append((source, rest[-1], rows.count())))
+    monkeypatch.setattr(Inputs, "stored", lambda *a: pytest.fail("written twice"))
+    monkeypatch.setattr(catalog_loads, "_job", lambda *a: 1 / 0)
+    inputs = Inputs(spark, SMALL)
+    with pytest.raises(ZeroDivisionError):
+        catalog_loads.run_beside_an_unreadable_delivery(inputs)
+    assert {(s, d) for s, d, _ in landed} == {(f"{s}_ads", d) for s in ("tiktok", "meta", "reddit") for d in ("newer", "older")}
+    assert sum(n for *_, n in landed) == inputs.raw("raw_ads").count()
