@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mediatide.operators.attribution import in_app_events
 from mediatide.operators.fields import RunStamp
-from mediatide.sources.files import Folder, finish, fresh_inside
+from mediatide.sources.files import Folder, finish, fresh_inside, partition_value
 from mediatide.sources.tables import append_once, laid_out
 
 REPEAT_WITHIN = "1 day"
@@ -70,13 +70,15 @@ def merged(events: DataFrame, path: str, load: str) -> Iterator[DataFrame]:
     finish(spark, path)
     try:
         # Not by day: every task would write a file for every day.
-        events.write.parquet(aside)
-        rows = spark.read.schema(events.schema).parquet(aside)
+        events.write.parquet(f"{aside}/rows")
+        rows = spark.read.schema(events.schema).parquet(f"{aside}/rows")
         named = rows.where(F.col("_event_id").isNotNull()).dropDuplicates(["_event_id", "event_date"])
         if Folder(spark, path).partitions(1):
             log = spark.read.schema("_event_id string, event_date date, _load string").parquet(path)
-            days = [r[0] for r in rows.select("event_date").distinct().toLocalIterator()]
-            of_days = F.col("event_date").isin(*(F.lit(d) for d in days if d))
+            found = rows.select("event_date").distinct().withColumn("found", F.lit(True)).coalesce(1)
+            found.write.partitionBy("event_date").parquet(f"{aside}/days")
+            days = [partition_value(p) for p in Folder(spark, f"{aside}/days").partitions(1)]
+            of_days = F.col("event_date").isin(*(F.lit(d).cast("date") for d in days if d))
             if None in days:
                 of_days = of_days | F.col("event_date").isNull()
             known = log.where(of_days & (F.col("_load") != load) & F.col("_event_id").isNotNull())
