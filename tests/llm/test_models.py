@@ -5,6 +5,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from rows import odd_rows, sentence
@@ -264,3 +265,32 @@ def test_known_tokens_are_coded_by_the_mixer(spark, monkeypatch):
     assert len(mixed) > 100 and [r[:4] for r in mixed] == [r[:4] for r in even]
     assert [r[4] for r in mixed] == pytest.approx([r[4] for r in even])
     assert sum(r[5] for r in mixed) > sum(r[5] for r in even) + 100
+
+
+def test_decisions_learn_from_every_training_token(monkeypatch):
+    """The batches of a pass hold all tokens of all cells, each by its number, however many there are."""
+    kind, cell = np.divmod(np.arange(0, 3 * context_mixing.CELLS, 3), context_mixing.CELLS)
+    n = np.where(cell % 1000 == 0, 5_000, 1 + cell % 5)
+    once = ((n == 1) & (cell % 2 == 0)).astype(np.int64)
+    groups = pa.table({"kind": kind, "cell": cell, "n": n, "words": np.ones_like(n), "once": once, "alone": (n == 1).astype(np.int64)})
+    seen = np.zeros((context_mixing.DEPTH + 1, len(n)))
+    place = {x: i for i, x in enumerate(zip(kind.tolist(), cell.tolist(), strict=True))}
+    counts, learn, now = context_mixing.Tree.counts, context_mixing.Mixer.learn, []
+
+    def counted(self, depth, of_kind, of_cell):
+        now[:] = [depth, of_kind, of_cell]
+        return counted.plain(self, depth, of_kind, of_cell)
+
+    def learned(self, state, value, rate, squares, weight=1.0):
+        depth, of_kind, of_cell = now
+        if depth == context_mixing.DEPTH:
+            np.add.at(seen[depth], [place[x] for x in zip(of_kind.tolist(), of_cell.tolist(), strict=True)], weight)
+        seen[0, 0] += np.sum(weight) * (depth == 0)
+        learn(self, state, value, rate, squares, weight)
+
+    counted.plain = counts
+    monkeypatch.setattr(context_mixing.Tree, "counts", counted)
+    monkeypatch.setattr(context_mixing.Mixer, "learn", learned)
+    context_mixing.fit_decisions(groups)
+    one = seen[0, 0] / n.sum()
+    assert seen[context_mixing.DEPTH] / one == pytest.approx(n - once)
