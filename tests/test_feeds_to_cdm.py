@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -236,3 +238,16 @@ def test_pages_hold_a_bounded_number_of_rows(spark, monkeypatch):
         assert got.count() == got.select("ad_id").distinct().count() == 1000
         if not per_line:
             assert got.select(F.input_file_name()).distinct().count() > 60
+
+
+def test_pages_take_little_disk(spark):
+    """Landed pages are compressed, and every row is in one of them once."""
+    rows = spark.range(5000, numPartitions=3).selectExpr("'2024-10-01' AS date_start", "CAST(id AS STRING) AS ad_id", "'Campaign' AS campaign_name", "id AS impressions")
+    plain = rows.selectExpr("sum(length(to_json(struct(*))))").head()[0]
+    setting = spark.conf.get(catalog_planted._CLEANUP)
+    for per_line in (True, False):
+        got = catalog_planted._pages(Inputs(spark, ""), "meta_ads", rows, per_line)
+        assert sorted(int(r["ad_id"]) for r in got.select("ad_id").collect()) == list(range(5000))
+        assert sum(Path(unquote(urlparse(f).path)).stat().st_size for f in got.inputFiles()) < plain / 4
+    assert spark.conf.get(catalog_planted._CLEANUP) == setting
+    assert catalog_planted._pages(Inputs(spark, ""), "meta_ads", rows.limit(0), False).count() == 0
