@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -294,3 +295,31 @@ def test_decisions_learn_from_every_training_token(monkeypatch):
     context_mixing.fit_decisions(groups)
     one = seen[0, 0] / n.sum()
     assert seen[context_mixing.DEPTH] / one == pytest.approx(n - once)
+
+
+def test_a_block_takes_little_more_than_its_words_and_references():
+    """Making its row needs no sorted copies of all references in long numbers; the row is what sorting gives."""
+    rng = np.random.default_rng(2)
+    kinds = context_mixing.Kinds(np.zeros(context_mixing.KINDS), np.log(rng.random((context_mixing.KINDS, context_mixing.HISTOGRAM))))
+    block = context_mixing.Block(0)
+    for i in range(400):
+        block.add(i, i % 5 == 0, " ".join(f"w{x}" for x in rng.integers(0, 20_000, 4_000)), kinds)
+    references = block.docs["ends"][-1]
+    tracemalloc.start()
+    row = block.row()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * references
+    got = {name: row.column(name)[0].values.to_numpy(zero_copy_only=False) for name in row.schema.names if name != "block"}
+    lengths = np.diff([0, *block.docs["ends"]])
+    both = np.repeat(np.array(block.docs["doc_kinds"], np.int64) << 32, lengths) | np.concatenate(block.docs["places"])
+    pairs, places = np.unique(both, return_inverse=True)
+    words = list(block.words)
+    assert got["tokens"].tolist() == [words[i] for i in pairs & 0xFFFFFFFF] and (got["kinds"] == pairs >> 32).all()
+    assert (np.cumsum(got["places"]) == places).all()
+    counted = np.bincount(places, np.where(np.repeat(block.docs["held"], lengths), 0, got["times"]), len(pairs))
+    assert (got["counts"] == counted).all()
+    ends = got["ends"].astype(np.int64)
+    found = list(context_mixing.shares(ends, 50_000))
+    assert [x.start for x in found[1:]] == [x.stop for x in found[:-1]] and (found[0].start, found[-1].stop) == (0, 400)
+    assert max(ends[x.stop - 1] - (ends[x.start - 1] if x.start else 0) for x in found) <= 50_000
