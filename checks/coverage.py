@@ -28,7 +28,8 @@ def table() -> str:
         "|---|---|",
     ]
     for entry in inventory():
-        names = [f"`{n}`" for n, e in ENTRIES.items() if entry in e.covers]
+        # By name: the order of registration is that in which the catalogs happen to be imported.
+        names = [f"`{n}`" for n in sorted(n for n, e in ENTRIES.items() if entry in e.covers)]
         lines.append(f"| {entry} | {', '.join(names) or WITHOUT_QUERY[entry]} |")
     return "\n".join(lines) + "\n"
 
